@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+# Fixed value: the shape of a trip's dates.
+MINUTE_TEXT = "^[0-9]{2}/[0-9]{2}/[0-9]{4} [0-9]{2}:[0-9]{2}$"
+
 
 def parse_minute_ts(text):
     """``dd/MM/yyyy HH:mm`` text to a local timestamp; anything else is null.
@@ -12,12 +15,10 @@ def parse_minute_ts(text):
     def digits(position, length):
         return F.substring(text, position, length).try_cast("int")
 
-    text = F.col(text) if isinstance(text, str) else text
-    shape = F.translate(text, "123456789", "000000000")
     parsed = F.try_make_timestamp_ntz(
         digits(7, 4), digits(4, 2), digits(1, 2), digits(12, 2), digits(15, 2), F.lit(0)
     )
-    return F.when(shape == "00/00/0000 00:00", parsed)
+    return F.when(F.col(text).rlike(MINUTE_TEXT), parsed)
 
 
 def calendar_parts(ts, prefix):

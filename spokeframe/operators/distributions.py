@@ -35,12 +35,16 @@ def trip_count_hist(trips, bins=20):
     values = bike_days.groupBy("trip_count").agg(F.count("*").alias("bike_days"))
     low, high = _widen(values.select(F.min("trip_count")).scalar(),
                        values.select(F.max("trip_count")).scalar())
-    width = (high - low) / bins
+
+    def edge(position):
+        return F.col("_low") + position * (F.col("_high") - F.col("_low")) / bins
+
     return (
-        values.groupBy(_bin(F.col("trip_count"), low, high, F.lit(bins)).alias("bin"))
-        .agg(F.sum("bike_days").alias("bike_days"))
-        .select("bin", (low + F.col("bin") * width).alias("bin_start"),
-                (low + (F.col("bin") + 1) * width).alias("bin_end"), "bike_days")
+        values.withColumns({"_low": low, "_high": high})
+        .withColumn("bin", _bin(F.col("trip_count"), F.col("_low"), F.col("_high"), F.lit(bins)))
+        .groupBy("bin", "_low", "_high").agg(F.sum("bike_days").alias("bike_days"))
+        .select("bin", edge(F.col("bin")).alias("bin_start"),
+                edge(F.col("bin") + 1).alias("bin_end"), "bike_days")
     )
 
 

@@ -23,11 +23,10 @@ def raw_trips(spark, sf_dir):
     def name(station):
         return F.concat(F.lit("Supplier#"), F.lpad(F.col(station).cast("string"), 9, "0"))
 
-    def date_text(ts):
-        # Through the text of a zone-less timestamp, so no session zone is involved.
-        t = F.col(ts).cast("string")
-        return F.concat_ws("/", F.substring(t, 9, 2), F.substring(t, 6, 2),
-                           F.concat_ws(" ", F.substring(t, 1, 4), F.substring(t, 12, 5)))
+    def date_text(iso):
+        text = F.concat(F.substring(iso, 9, 2), F.lit("/"), F.substring(iso, 6, 2), F.lit("/"),
+                        F.substring(iso, 1, 4), F.substring(iso, 11, 6))
+        return F.when(F.col("_unreadable"), "n/a").otherwise(text)
 
     def after(ts, amount, unit):
         return F.timestamp_add(unit, amount, ts)
@@ -51,10 +50,13 @@ def raw_trips(spark, sf_dir):
             unreadable.alias("_unreadable"),
         )
         .withColumn("_end", after(F.col("_start"), F.col("duration"), "SECOND"))
+        # Cast in a step of their own: written once per row, and in no session zone.
+        .withColumns({"_start": F.col("_start").cast("string"),
+                      "_end": F.col("_end").cast("string")})
         .withColumns({
-            "end_date": F.when(F.col("_unreadable"), "n/a").otherwise(date_text("_end")),
+            "end_date": date_text("_end"),
             "end_station_name": name("end_station_id"),
-            "start_date": F.when(F.col("_unreadable"), "n/a").otherwise(date_text("_start")),
+            "start_date": date_text("_start"),
             "start_station_name": name("start_station_id"),
             # Some trips are delivered twice.
             "_copy": F.explode(F.sequence(F.lit(1), F.when(resent, 2).otherwise(1))),

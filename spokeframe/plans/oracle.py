@@ -336,8 +336,8 @@ SELECTS = {
     "bike_journeys": ("journeys", "SELECT * FROM journeys"),
     "bike_journey_count": ("journeys", "SELECT count(start_ts) AS journeys FROM journeys"),
     "trip_count_hist": ("bike_days", """
-        SELECT bin, low + bin * (high - low) / 20 AS bin_start,
-               low + (bin + 1) * (high - low) / 20 AS bin_end, count(*) AS bike_days
+        SELECT bin, round(low + bin * (high - low) / 20, 6) AS bin_start,
+               round(low + (bin + 1) * (high - low) / 20, 6) AS bin_end, count(*) AS bike_days
         FROM (SELECT *, least(floor((trip_count - low) * 20 / (high - low)), 19)::INTEGER AS bin
               FROM bike_days, (SELECT min(trip_count)::DOUBLE AS low, max(trip_count)::DOUBLE AS high
                                FROM bike_days))

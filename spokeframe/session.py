@@ -27,12 +27,13 @@ def build_session(app_name="bike-share", master=None, **settings):
 def shared_folder(spark):
     """A fresh path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    A temporary folder is chosen, and kept for the session, only where that setting is absent.
+    Only where the session names none, as in tests, a temporary folder is chosen and kept for it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="bike-share-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="bike-share-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
