@@ -92,7 +92,8 @@ def bike_journeys(trips, stations, bike_id, year, month, day):
     """One bike's trips of one day with the coordinates of both ends, in time order.
 
     The four equalities are on stored columns and reach the scan. Trips with an end that is not a
-    listed station are left out.
+    listed station are left out. Trips that start in the same minute are ordered by what follows,
+    so that the sort can also split a minute over tasks.
     """
     def ends(side):
         return stations.select(F.col("id").cast("bigint").alias(f"{side}_station_id"),
@@ -107,7 +108,7 @@ def bike_journeys(trips, stations, bike_id, year, month, day):
         chosen.join(ends("start"), "start_station_id").join(ends("end"), "end_station_id")
         .select("start_ts", "start_station_name", "end_ts", "end_station_name", "duration",
                 "start_lat", "start_lon", "end_lat", "end_lon")
-        .orderBy("start_ts")
+        .orderBy("start_ts", "end_ts", "start_station_name", "end_station_name", "duration")
     )
 
 
