@@ -37,11 +37,14 @@ def raw_trips(spark, sf_dir):
     unreadable = (line == 6) & (quantity == 50)
     unnamed = (line == 7) & (quantity == 49)
     offset = (F.col("l_orderkey") * 37 + line * 101) % 1440
-    resent = F.col("rental_id") % 50 == 1
+    rental_id = F.col("l_orderkey") * 10 + line
+    copies = F.when(rental_id % 50 == 1, 2).otherwise(1)
     return (
         table(spark, sf_dir, "lineitem")
+        # Some trips are delivered twice; repeated here, while the rows are narrow.
+        .select("*", F.explode(F.sequence(F.lit(1), copies)))
         .select(
-            (F.col("l_orderkey") * 10 + line).alias("rental_id"),
+            rental_id.alias("rental_id"),
             ((quantity - 1) * 180).cast("int").alias("duration"),
             (F.col("l_partkey") % 97).cast("int").alias("bike_id"),
             F.when(~unnamed, (F.col("l_partkey") * 7 + line) % open_ends).alias("end_station_id"),
@@ -58,8 +61,6 @@ def raw_trips(spark, sf_dir):
             "end_station_name": name("end_station_id"),
             "start_date": date_text("_start"),
             "start_station_name": name("start_station_id"),
-            # Some trips are delivered twice.
-            "_copy": F.explode(F.sequence(F.lit(1), F.when(resent, 2).otherwise(1))),
         })
         .select("rental_id", "duration", "bike_id", "end_date", "end_station_id",
                 "end_station_name", "start_date", "start_station_id", "start_station_name")
