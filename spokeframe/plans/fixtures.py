@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from spokeframe.functions.grid import with_grid
 from spokeframe.operators.prepare import prepare_trips
 from spokeframe.schemas import STATIONS
-from spokeframe.session import stage
+from spokeframe.session import shared_folder
+from spokeframe.sources.trips import read_trips, write_trips
 
+# (application, test-data folder) -> path of the prepared trips
 _prepared = {}
 
 
@@ -68,11 +70,16 @@ def raw_trips(spark, sf_dir):
 
 
 def trips(spark, sf_dir):
-    """The prepared trips, written once per application to the shared folder and read from there."""
+    """The prepared trips, written once per application to the shared folder and read from there.
+
+    The copy cuts the lineage and outlives lost executors; each reader prunes its columns.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _prepared:
-        _prepared[key] = stage(prepare_trips(raw_trips(spark, sf_dir)))
-    return _prepared[key]
+        path = shared_folder(spark)
+        write_trips(prepare_trips(raw_trips(spark, sf_dir)), path)
+        _prepared[key] = path
+    return read_trips(spark, _prepared[key])
 
 
 def stations(spark, sf_dir):

@@ -35,13 +35,3 @@ def shared_folder(spark):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="bike-share-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def stage(df):
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    The copy outlives lost executors and cuts the lineage; later jobs prune its columns.
-    """
-    path = shared_folder(df.sparkSession) + "/table"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

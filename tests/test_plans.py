@@ -7,7 +7,7 @@ from __spark_entry__ import queries
 
 from spokeframe.operators import fleet
 from spokeframe.plans import fixtures
-from spokeframe.session import shared_folder, stage
+from spokeframe.session import shared_folder
 
 
 def plan_of(df):
@@ -67,12 +67,13 @@ def test_pair_blocks_are_joined_by_equality_without_broadcast(spark, sf_dir):
     assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
 
 
-def test_staged_tables_are_in_the_shared_folder(spark, sf_dir):
+def test_prepared_trips_are_written_once_to_the_shared_folder(spark, sf_dir):
     root = shared_folder(spark).rsplit("/", 1)[0]
     assert shared_folder(spark) != shared_folder(spark)
     assert shared_folder(spark).rsplit("/", 1)[0] == root
-    staged = stage(spark.range(10))
-    assert all(root in f for f in staged.inputFiles())
+    files = fixtures.trips(spark, sf_dir).inputFiles()
+    assert files and all(root in f for f in files)
+    assert fixtures.trips(spark, sf_dir).inputFiles() == files
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert root == configured.rstrip("/")
