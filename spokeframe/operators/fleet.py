@@ -39,16 +39,14 @@ def daily_usage(trips):
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), "start_day"))
              .alias("days"))
     )
-    used = [
-        F.struct(F.lit(day).alias("start_day"),
-                 F.max(F.getbit("days", F.lit(day))).alias("ridden"),
-                 F.count(F.when(F.getbit("days", F.lit(day)) == 1, F.col("bike_id")))
-                 .alias("bikes_used"))
+    used = ", ".join(
+        f"struct({day} AS start_day, max(getbit(days, {day})) AS ridden,"
+        f" count(CASE WHEN getbit(days, {day}) = 1 THEN bike_id END) AS bikes_used)"
         for day in range(1, 32)
-    ]
+    )
     return (
         bike_months.groupBy("start_year", "start_month")
-        .agg(F.count("bike_id").alias("bikes_available"), F.array(*used).alias("used"))
+        .agg(F.count("bike_id").alias("bikes_available"), F.expr(f"array({used})").alias("used"))
         .select("start_year", "start_month", "bikes_available", F.inline("used"))
         .where("ridden = 1")
         .select("bikes_used", "bikes_available",
