@@ -24,14 +24,45 @@ def build_session(app_name="bike-share", master=None, **settings):
     return builder.getOrCreate()
 
 
+def choose_root(configured, master):
+    """The folder that intermediate tables go below.
+
+    A machine-local temporary folder is chosen only where driver and executors are one process;
+    on a cluster each machine would write to a disk of its own, so there it is an error.
+    """
+    if configured:
+        return configured.rstrip("/")
+    if master == "local" or master.startswith("local["):
+        return tempfile.mkdtemp(prefix="spokeframe-")
+    raise ValueError(
+        "spark.checkpoint.dir is not set: name a folder there that driver and executors share")
+
+
 def shared_folder(spark):
     """A fresh path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests, a temporary folder is chosen and kept for it.
+    All paths of an application lie in one folder, which is removed when the application ends.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="bike-share-"))
-        root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    root = choose_root(configured, context.master)
+    if not configured:
+        context.setCheckpointDir(root)
+    top = f"{root}/tables-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(top)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{top}/{uuid.uuid4().hex}"
+
+
+def through_table(df):
+    """``df`` written once to the shared folder and read back.
+
+    Cuts the lineage, lets several readers share one computation, outlives lost executors, and
+    gives Spark the table's true size to choose joins by.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,9 +1,12 @@
 """Every registered query against its SQL in DuckDB."""
 
 import pytest
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import connect, differences
 
+from spokeframe.plans.catalog import QUERIES
+from spokeframe.plans.oracle import oracle_sql
+
 ROWS_ONLY = {"preview"}
 
 
@@ -12,9 +15,9 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     if name in ROWS_ONLY:
         assert df.count() == 10
     else:
@@ -22,8 +25,8 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
 
 
 def test_every_query_but_the_preview_has_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(oracle_sql()) == ROWS_ONLY
+    assert set(oracle_sql()) <= set(QUERIES)
 
 
 def test_entry_has_rows(spark):

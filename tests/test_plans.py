@@ -3,29 +3,29 @@
 import re
 
 import pytest
-from __spark_entry__ import queries
 
 from spokeframe.operators import fleet
 from spokeframe.plans import fixtures
-from spokeframe.session import shared_folder
+from spokeframe.plans.catalog import QUERIES
+from spokeframe.session import choose_root, shared_folder
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_workers_and_no_nested_loops(spark, sf_dir, name):
-    plan = plan_of(queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
                  "BroadcastNestedLoopJoin"):
         assert node not in plan
 
 
 def test_trips_are_read_by_column(spark, sf_dir):
-    plan = plan_of(queries()["trips_by_year"](spark, sf_dir))
+    plan = plan_of(QUERIES["trips_by_year"](spark, sf_dir))
     assert "ReadSchema: struct<start_year:int>" in plan
-    plan = plan_of(queries()["top_start_stations"](spark, sf_dir))
+    plan = plan_of(QUERIES["top_start_stations"](spark, sf_dir))
     assert "TakeOrderedAndProject" in plan and "ReadSchema: struct<start_station_name:string>" in plan
 
 
@@ -35,45 +35,53 @@ def test_filters_reach_the_scan(spark, sf_dir):
     for pushed in ("EqualTo(bike_id,7)", "EqualTo(start_year,1996)", "EqualTo(start_month,3)",
                    "EqualTo(start_day,2)"):
         assert pushed in plan
-    assert "LessThan(duration,7200)" in plan_of(queries()["duration_hist"](spark, sf_dir))
+    assert "LessThan(duration,7200)" in plan_of(QUERIES["duration_hist"](spark, sf_dir))
 
 
 def test_duplicates_collapse_before_the_only_shuffle(spark, sf_dir):
-    plan = plan_of(queries()["prepare_trips"](spark, sf_dir)).split("Subquery")[0]
+    plan = plan_of(QUERIES["prepare_trips"](spark, sf_dir)).split("Subquery")[0]
     assert plan.count("Exchange hashpartitioning") == 1
     before, after = plan.split("Exchange hashpartitioning", 1)
     assert "HashAggregate" in before and "HashAggregate" in after
 
 
 def test_the_fleet_report_is_one_scan(spark, sf_dir):
-    plan = plan_of(queries()["utilisation"](spark, sf_dir))
+    plan = plan_of(QUERIES["utilisation"](spark, sf_dir))
     assert plan.count("FileScan") == 1 and "Join" not in plan
 
 
 @pytest.mark.parametrize("name", ["station_map", "trip_count_hist"])
 def test_ranges_do_not_scan_the_trips_again(spark, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"ReusedExchange \[(bike_id|start_station)", plan)
 
 
 def test_dead_trips_is_an_anti_join(spark, sf_dir):
-    assert "LeftAnti" in plan_of(queries()["dead_trips"](spark, sf_dir))
+    assert "LeftAnti" in plan_of(QUERIES["dead_trips"](spark, sf_dir))
 
 
 def test_pair_blocks_are_joined_by_equality_without_broadcast(spark, sf_dir):
-    plan = plan_of(queries()["possible_trips"](spark, sf_dir))
+    plan = plan_of(QUERIES["possible_trips"](spark, sf_dir))
     assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
 
 
 def test_prepared_trips_are_written_once_to_the_shared_folder(spark, sf_dir):
-    root = shared_folder(spark).rsplit("/", 1)[0]
+    top = shared_folder(spark).rsplit("/", 1)[0]
     assert shared_folder(spark) != shared_folder(spark)
-    assert shared_folder(spark).rsplit("/", 1)[0] == root
+    assert shared_folder(spark).rsplit("/", 1)[0] == top
     files = fixtures.trips(spark, sf_dir).inputFiles()
-    assert files and all(root in f for f in files)
+    assert files and all(top in f for f in files)
     assert fixtures.trips(spark, sf_dir).inputFiles() == files
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        assert root == configured.rstrip("/")
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_a_shared_folder_is_an_error(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        choose_root(None, master)
+    assert choose_root("hdfs://all/of/it/", master) == "hdfs://all/of/it"
+
+
+def test_one_process_may_use_a_temporary_folder():
+    assert choose_root(None, "local[4]") != choose_root(None, "local[4]")
