@@ -131,7 +131,9 @@ def read_back(formatted):
 
     The loss text is cut out by the mask; its attachments are those of the assistant turns.
     """
-    pieces = F.slice(F.split("formatted", r"<\|turn\|>", -1), 2, 2**31 - 1)
+    # What stands before the first mark is empty.
+    pieces = let(F.split("formatted", r"<\|turn\|>", -1),
+                 lambda p: F.slice(p, F.lit(2), F.size(p) - 1))
 
     def turn(piece, i):
         fields = F.split(piece, r"<\|text\|>|<\|end\|>", -1)

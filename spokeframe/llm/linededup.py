@@ -21,6 +21,8 @@ stay, but for those between two deleted lines of a run. A null text is empty. A
 lines with words go is deleted, one that had none stays as it is.
 """
 
+import functools
+
 from pyspark.sql import functions as F
 
 from spokeframe.llm.columns import WORD, let, only, text_or_empty
@@ -28,7 +30,7 @@ from spokeframe.llm.columns import WORD, let, only, text_or_empty
 MIN_WORDS = 10
 
 
-def _doubled(ranks, step):
+def _doubled(step, ranks):
     """Ranks of twice the length: null where the document ends before."""
     return F.transform(ranks, lambda r, i: F.when(
         i + step < F.size(ranks), F.xxhash64(r, ranks.getItem(i + step))))
@@ -60,7 +62,7 @@ def suffix_ranks(docs, min_words=MIN_WORDS, doc_id="doc_id", text="text"):
     })
     for h in range(1, levels):
         rows = rows.withColumn(f"level{h}", let(
-            F.col(f"level{h - 1}"), lambda ranks, h=h: _doubled(ranks, 1 << (h - 1))))
+            F.col(f"level{h - 1}"), functools.partial(_doubled, 1 << (h - 1))))
     every = F.array(*(f"level{h}" for h in range(levels)))
 
     def place(s, i, words, ranks):
