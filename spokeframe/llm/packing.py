@@ -18,20 +18,23 @@ import base64
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import types as T
 
 LENGTH = 1024
 END = 0
-BATCH_TOKENS = 8_000_000
+BATCH_TOKENS = 2_000_000
 
 # Distinct chunks of text whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 # New chunks of each batch that are encoded both ways and compared, where ranks are given.
 COMPARED = 50
 
+# Rows taken from and passed on to Spark at once.
+TEXTS_AT_ONCE, PIECES_AT_ONCE = 250, 2000
+
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("start", T.LongType()),
@@ -42,6 +45,8 @@ PIECES = T.StructType([
     T.StructField("offset", T.LongType()),
 ])
 
+_ARROW = pa.schema([(f.name, pa.binary() if f.name == "ids" else pa.int64()) for f in PIECES])
+
 
 # White space other than the blank and the line feed.
 _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -217,7 +222,7 @@ def pack(docs, tokenizer, ranks=None, pattern=None, capacity=LENGTH, end=END,
 
     end_bytes = np.array([end], dtype="<u4").tobytes()
 
-    def run(frames):
+    def run(batches):
         encoder, serial = ChunkEncoder(tokenizer, ranks, pattern), 0
         first = TaskContext.get().partitionId() << 40
 
@@ -225,28 +230,28 @@ def pack(docs, tokenizer, ranks=None, pattern=None, capacity=LENGTH, end=END,
             nonlocal serial
             sizes = [len(b) // 4 for b in ids]
             pieces, used = pack_batch(sizes, capacity)
-            for at in range(0, len(pieces), 20_000):
-                part = pieces[at:at + 20_000]
-                yield pd.DataFrame({
-                    "doc_id": pd.array([keys[p[0]] for p in part], dtype="Int64"),
-                    "start": [p[1] for p in part],
-                    "length": [p[2] for p in part],
-                    "ids": [ids[p[0]][4 * p[1]:4 * (p[1] + p[2])] for p in part],
-                    "doc_tokens": [sizes[p[0]] for p in part],
-                    "sequence_id": [first + serial + p[3] for p in part],
-                    "offset": [p[4] for p in part],
-                })
+            for at in range(0, len(pieces), PIECES_AT_ONCE):
+                docs, starts, lengths, sequences, offsets = zip(*pieces[at:at + PIECES_AT_ONCE])
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": [keys[d] for d in docs],
+                    "start": starts,
+                    "length": lengths,
+                    "ids": [ids[d][4 * i:4 * (i + n)] for d, i, n in zip(docs, starts, lengths)],
+                    "doc_tokens": [sizes[d] for d in docs],
+                    "sequence_id": [first + serial + s for s in sequences],
+                    "offset": [int(o) for o in offsets],
+                }, schema=_ARROW)
             serial += used
 
         keys, ids, held = [], [], 0
-        for frame in frames:
-            names = [None if pd.isna(k) else int(k) for k in frame["doc_id"]]
-            texts = ["" if t is None else t for t in frame["text"]]
-            for at in range(0, len(texts), 1000):
-                for key, found in zip(names[at:at + 1000], encoder.encode(texts[at:at + 1000])):
-                    keys.append(key)
-                    ids.append(found + end_bytes)
-                    held += len(found) // 4 + 1
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                found = encoder.encode(["" if t is None else t
+                                        for t in part.column("text").to_pylist()])
+                keys += part.column("doc_id").to_pylist()
+                ids += [b + end_bytes for b in found]
+                held += sum(map(len, found)) // 4 + len(found)
                 if held >= batch_tokens:
                     yield from flush(keys, ids)
                     keys, ids, held = [], [], 0
@@ -255,4 +260,4 @@ def pack(docs, tokenizer, ranks=None, pattern=None, capacity=LENGTH, end=END,
 
     plain = only(docs, doc_id=doc_id, text=text)
     return plain.selectExpr("cast(doc_id AS bigint) AS doc_id", "cast(text AS string) AS text") \
-        .mapInPandas(run, PIECES)
+        .mapInArrow(run, PIECES)
