@@ -77,8 +77,14 @@ def busy_bikes(trips):
     )
 
 
+def dated(trips):
+    """Trips whose start could be read; the others belong to no day."""
+    return trips.where(F.col("start_year").isNotNull())
+
+
 def top_bike_days(trips, k=20):
-    return busy_bikes(trips).orderBy(F.desc("trip_count"), *BIKE_DAY).limit(k)
+    """The ``k`` bike-days with the most trips. Undated trips are no day of any bike."""
+    return busy_bikes(dated(trips)).orderBy(F.desc("trip_count"), *BIKE_DAY).limit(k)
 
 
 def pick_busy_bike(trips, k=20, seed=0):
@@ -89,7 +95,8 @@ def pick_busy_bike(trips, k=20, seed=0):
 def bike_journeys(trips, stations, bike_id, year, month, day):
     """One bike's trips of one day with the coordinates of both ends, in time order.
 
-    The four equalities are on stored columns and reach the scan. Trips with an end that is not a
+    The chosen day is given as values or columns (such as scalar subqueries); the four equalities
+    are on stored columns and reach the scan, the month as folders. Trips with an end that is not a
     listed station are left out. Trips that start in the same minute are ordered by what follows,
     so that the sort can also split a minute over tasks.
     """

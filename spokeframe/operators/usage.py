@@ -30,7 +30,11 @@ def trips_by_month(trips):
 
 
 def trips_month_pivot(trips, years=None):
-    """Months down, one column of trip counts per year. Naming the years saves a pass."""
+    """Months down, one column of trip counts per year.
+
+    With ``years`` nothing runs before the result is asked for and the trips are read once; without
+    them a first pass collects the years.
+    """
     monthly = trips.where(F.col("start_year").isNotNull()).groupBy("start_year", "start_month")
     counts = monthly.agg(F.count("*").alias("cnt"))
     return (
@@ -88,6 +92,6 @@ def trip_type_share(trips):
     )
 
 
-def preview(df, n=10):
-    """Any ``n`` rows."""
-    return df.limit(n)
+def preview(df, n=10, order=()):
+    """The first ``n`` rows by the columns ``order``; any ``n`` rows if there are none."""
+    return (df.orderBy(*order) if order else df).limit(n)

@@ -13,6 +13,9 @@ from spokeframe.sources import weather as weather_files
 
 BASE_URL = "https://example.org/"
 
+# The years that the trips made from the test data start in.
+YEARS = list(range(1995, 2002))
+
 VIEW_SQL = """
     SELECT b.id, b.name, t.trips_started, t.seconds
     FROM bike_points b
@@ -90,8 +93,8 @@ def stations_grid(spark, sf_dir):
 
 def stations_by_name(spark, sf_dir):
     points = fixtures.stations(spark, sf_dir)
-    pick = dead.pick_dead_trip(fixtures.trips(spark, sf_dir), points)
-    ends = pick.select(F.explode(F.array(*usage.ROUTE)).alias("name"))
+    routes = usage.top_trips(fixtures.trips(spark, sf_dir))
+    ends = routes.select(F.explode(F.array(*usage.ROUTE)).alias("name"))
     found = stations.stations_by_name(points, ends)
     return _rounded(found, 3, "osgb_x", "osgb_y")
 
@@ -128,25 +131,37 @@ def manifest_new_files(spark, sf_dir):
 
 def bike_journeys(spark, sf_dir):
     trips = fixtures.trips(spark, sf_dir)
-    dated = trips.where(F.col("start_year").isNotNull())
-    # The four values of one bike-day, chosen first so that they filter the scan.
-    chosen = fleet.pick_busy_bike(dated).select(*fleet.BIKE_DAY).first() or [None] * 4
-    return fleet.bike_journeys(trips, fixtures.stations(spark, sf_dir), *chosen)
+    chosen = fleet.pick_busy_bike(trips).select(F.struct(*fleet.BIKE_DAY)).scalar()
+    return fleet.bike_journeys(trips, fixtures.stations(spark, sf_dir),
+                               *(chosen[c] for c in fleet.BIKE_DAY))
+
+
+def bike_journey_lines(spark, sf_dir):
+    return _with_line_ends(stations.trip_lines(bike_journeys(spark, sf_dir)))
 
 
 def bike_journey_count(spark, sf_dir):
     return fleet.journey_count(bike_journeys(spark, sf_dir))
 
 
+def _with_line_ends(lines):
+    """The array of two points as four columns."""
+    ends = {f"line_{part}{i + 1}": F.col("geometry")[i][part] for i in (0, 1)
+            for part in ("lon", "lat")}
+    return lines.withColumns(ends).drop("geometry")
+
+
 def station_map(spark, sf_dir):
     placed = _of_both(stations.station_map)(spark, sf_dir)
-    return _rounded(placed.drop("geometry"), 9, "colour_value")
+    flat = placed.withColumns({"point_lon": F.col("geometry.lon"),
+                               "point_lat": F.col("geometry.lat")}).drop("geometry")
+    return _rounded(flat, 9, "colour_value")
 
 
 def trip_lines(spark, sf_dir):
-    points = fixtures.stations(spark, sf_dir)
-    pairs = dead.dead_trips(fixtures.trips(spark, sf_dir), points)
-    return stations.trip_lines(stations.with_coordinates(pairs, points)).drop("geometry")
+    points = stations.with_place(fixtures.stations(spark, sf_dir))
+    pairs = dead.dead_trips(fixtures.trips(spark, sf_dir), points, carried=("lon", "lat"))
+    return _with_line_ends(stations.trip_lines(pairs))
 
 
 def dead_trips_message(spark, sf_dir):
@@ -188,7 +203,7 @@ QUERIES = {
     "trips_with_type": _of_trips(prepare.with_trip_type),
     "trips_by_year": _of_trips(usage.trips_by_year),
     "trips_by_month": _of_trips(usage.trips_by_month),
-    "trips_month_pivot": _of_trips(usage.trips_month_pivot),
+    "trips_month_pivot": _of_trips(lambda trips: usage.trips_month_pivot(trips, YEARS)),
     "top_start_stations": _of_trips(usage.top_start_stations),
     "top_end_stations": _of_trips(usage.top_end_stations),
     "trip_counts": _of_trips(usage.trip_counts),
@@ -196,7 +211,7 @@ QUERIES = {
     "bottom_trips": _of_trips(usage.bottom_trips),
     "trip_type_totals": _of_trips(usage.trip_type_totals),
     "trip_type_share": _of_trips(usage.trip_type_share),
-    "preview": _of_trips(usage.preview),
+    "preview": _of_trips(lambda trips: usage.preview(trips, order=trips.columns)),
     "monthly_bikes": _of_trips(fleet.monthly_bikes),
     "daily_bikes": _of_trips(fleet.daily_bikes),
     "daily_usage": _of_trips(fleet.daily_usage),
@@ -206,6 +221,7 @@ QUERIES = {
     "pick_busy_bike": _of_trips(fleet.pick_busy_bike),
     "bike_journeys": bike_journeys,
     "bike_journey_count": bike_journey_count,
+    "bike_journey_lines": bike_journey_lines,
     "trip_count_hist": trip_count_hist,
     "duration_hist": duration_hist,
     "duration_density": duration_density,

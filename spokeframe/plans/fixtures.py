@@ -72,12 +72,13 @@ def raw_trips(spark, sf_dir):
 def trips(spark, sf_dir):
     """The prepared trips, written once per application to the shared folder and read from there.
 
-    The copy cuts the lineage and outlives lost executors; each reader prunes its columns.
+    The copy cuts the lineage and outlives lost executors; each reader prunes its columns and, by
+    the month folders, its rows.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _prepared:
         path = shared_folder(spark)
-        write_trips(prepare_trips(raw_trips(spark, sf_dir)), path)
+        write_trips(prepare_trips(raw_trips(spark, sf_dir)), path, by_month=True)
         _prepared[key] = path
     return read_trips(spark, _prepared[key])
 

@@ -121,6 +121,10 @@ PIECES = {
                sum(duration)::BIGINT AS duration
         FROM trips GROUP BY ALL
     """),
+    "routes": ("counts", """
+        SELECT * FROM counts ORDER BY trip_count DESC, start_station_name NULLS FIRST,
+               end_station_name NULLS FIRST LIMIT 10
+    """),
     "possible": ("listed", """
         SELECT a.name AS start_station_name, b.name AS end_station_name
         FROM listed a CROSS JOIN listed b
@@ -165,12 +169,6 @@ PIECES = {
                bike_id, start_year, start_month, start_day
         FROM trips GROUP BY bike_id, start_year, start_month, start_day
     """),
-    "top_days": ("bike_days", """
-        SELECT * FROM bike_days
-        ORDER BY trip_count DESC, bike_id NULLS FIRST, start_year NULLS FIRST,
-                 start_month NULLS FIRST, start_day NULLS FIRST
-        LIMIT 20
-    """),
     "top_dated_days": ("bike_days", """
         SELECT * FROM bike_days WHERE start_year IS NOT NULL
         ORDER BY trip_count DESC, bike_id NULLS FIRST, start_year, start_month, start_day
@@ -274,10 +272,10 @@ SELECTS = {
     "stations_from_json": ("bike_points", "SELECT * FROM bike_points"),
     "stations_grid": ("bike_points", """
         SELECT id, name, osgb_x AS x, osgb_y AS y, 27700 AS srid FROM bike_points"""),
-    "stations_by_name": ("bike_points dead_pick", """
+    "stations_by_name": ("bike_points routes", """
         SELECT * FROM bike_points
-        WHERE name IN (SELECT start_station_name FROM dead_pick)
-           OR name IN (SELECT end_station_name FROM dead_pick)"""),
+        WHERE name IN (SELECT start_station_name FROM routes)
+           OR name IN (SELECT end_station_name FROM routes)"""),
     "weather_parse": ("weather", "SELECT * FROM weather"),
     "weather_parse_unsigned": ("weather", """
         SELECT * REPLACE (abs(minimum_temp) AS minimum_temp) FROM weather"""),
@@ -328,9 +326,9 @@ SELECTS = {
                strftime(make_date(start_year, start_month, 1), '%B %Y') AS month_label
         FROM usage GROUP BY start_year, start_month"""),
     "busy_bikes": ("bike_days", "SELECT * FROM bike_days"),
-    "top_bike_days": ("top_days", "SELECT * FROM top_days"),
-    "pick_busy_bike": ("top_days", """
-        SELECT * FROM top_days
+    "top_bike_days": ("top_dated_days", "SELECT * FROM top_dated_days"),
+    "pick_busy_bike": ("top_dated_days", """
+        SELECT * FROM top_dated_days
         ORDER BY md5(concat_ws('|', '0', bike_id, start_year, start_month, start_day)),
                  bike_id NULLS FIRST, start_year NULLS FIRST LIMIT 1"""),
     "bike_journeys": ("journeys", "SELECT * FROM journeys"),
@@ -340,7 +338,8 @@ SELECTS = {
                round(low + (bin + 1) * (high - low) / 20, 6) AS bin_end, count(*) AS bike_days
         FROM (SELECT *, least(floor((trip_count - low) * 20 / (high - low)), 19)::INTEGER AS bin
               FROM bike_days, (SELECT min(trip_count)::DOUBLE AS low, max(trip_count)::DOUBLE AS high
-                               FROM bike_days))
+                               FROM bike_days WHERE start_year IS NOT NULL)
+              WHERE start_year IS NOT NULL)
         GROUP BY bin, low, high"""),
     "duration_hist": ("short type_bins", """
         SELECT trip_type, bins, bin, round(low + bin * width, 6) AS bin_start,
@@ -363,7 +362,8 @@ SELECTS = {
         SELECT id, longitude, latitude, duration, trip_count,
                round((trip_count - min(trip_count) OVER ())
                      / (max(trip_count) OVER () - min(trip_count) OVER ()), 9) AS colour_value,
-               'POINT (' || longitude || ' ' || latitude || ')' AS wkt
+               printf('POINT (%.6f %.6f)', longitude, latitude) AS wkt,
+               longitude AS point_lon, latitude AS point_lat
         FROM listed JOIN totals ON id = start_station_id"""),
     "possible_trips": ("possible", "SELECT * FROM possible"),
     "pair_matrix": ("possible counts", """
@@ -380,16 +380,32 @@ SELECTS = {
     "pick_dead_trip": ("dead_pick", "SELECT * FROM dead_pick"),
     "dead_trips_summary": ("summary", "SELECT * FROM summary"),
     "dead_trips_message": ("summary dead_pick", """
-        SELECT 'Of ' || format('{:,}', possible_pairs) || ' possible trips between ' || stations
-               || ' stations, ' || format('{:,}', unrecorded_estimate)
-               || ' have never been recorded. Be the first to ride from ' || start_station_name
-               || ' to ' || end_station_name || '.' AS message
-        FROM summary, dead_pick"""),
+        SELECT CASE WHEN dead_pairs > 0
+                 THEN format('{:,} of the {:,} pairs among {} stations are unridden, such as ',
+                             dead_pairs, possible_pairs, stations)
+                      || start_station_name || ' to ' || end_station_name || '.'
+                 ELSE format('All {:,} pairs among {} stations have been ridden.',
+                             possible_pairs, stations) END AS message
+        FROM summary LEFT JOIN dead_pick ON true"""),
     "trip_lines": ("places", """
-        SELECT *, 'LINESTRING (' || start_lon || ' ' || start_lat || ', '
-                  || end_lon || ' ' || end_lat || ')' AS wkt,
-               start_lat || ', ' || start_lon AS start_text, end_lat || ', ' || end_lon AS end_text
+        SELECT *, printf('LINESTRING (%.6f %.6f, %.6f %.6f)', start_lon, start_lat, end_lon, end_lat)
+                      AS wkt,
+               printf('%.6f, %.6f', start_lat, start_lon) AS start_text,
+               printf('%.6f, %.6f', end_lat, end_lon) AS end_text,
+               start_lon AS line_lon1, start_lat AS line_lat1,
+               end_lon AS line_lon2, end_lat AS line_lat2
         FROM places"""),
+    "bike_journey_lines": ("journeys", """
+        SELECT *, printf('LINESTRING (%.6f %.6f, %.6f %.6f)', start_lon, start_lat, end_lon, end_lat)
+                      AS wkt,
+               printf('%.6f, %.6f', start_lat, start_lon) AS start_text,
+               printf('%.6f, %.6f', end_lat, end_lon) AS end_text,
+               start_lon AS line_lon1, start_lat AS line_lat1,
+               end_lon AS line_lon2, end_lat AS line_lat2
+        FROM journeys"""),
+    "preview": ("trips", """
+        SELECT * FROM trips ORDER BY rental_id NULLS FIRST, duration NULLS FIRST,
+               bike_id NULLS FIRST, end_station_id NULLS FIRST, start_ts NULLS FIRST LIMIT 10"""),
 }
 
 

@@ -32,4 +32,4 @@ def file_manifest(listing, base_url):
 
 def new_files(manifest, landed):
     """Manifest rows whose ``file_name`` is not among those already landed."""
-    return manifest.join(landed.select("file_name").distinct(), "file_name", "left_anti")
+    return manifest.join(landed.select("file_name"), "file_name", "left_anti")

@@ -61,18 +61,27 @@ def test_grid_of_wgs84_points(spark):
 
 def test_points_and_lines(spark):
     df = spark.createDataFrame(
-        [(-0.1, 51.5, -0.2, 51.6), (-0.1, 51.5, -0.1, 51.5), (-0.1, 51.5, None, None)],
+        [(-0.1, 51.5, -0.2, 51.6), (-0.1, 51.5, -0.1, 51.5), (-0.1, 51.5, None, None),
+         (-0.0001, 51.5, -0.2, None), (None, 51.5, -0.2, 51.6), (-0.1, None, -0.2, 51.6)],
         "start_lon double, start_lat double, end_lon double, end_lat double")
     rows = trip_lines(df).collect()
     assert [r.wkt for r in rows] == [
-        "LINESTRING (-0.1 51.5, -0.2 51.6)", "LINESTRING (-0.1 51.5, -0.1 51.5)",
-        "LINESTRING (-0.1 51.5, -0.1 51.5)"]
-    assert (rows[0].start_text, rows[0].end_text) == ("51.5, -0.1", "51.6, -0.2")
+        "LINESTRING (-0.100000 51.500000, -0.200000 51.600000)",
+        "LINESTRING (-0.100000 51.500000, -0.100000 51.500000)",
+        "LINESTRING (-0.100000 51.500000, -0.100000 51.500000)",
+        "LINESTRING (-0.000100 51.500000, -0.000100 51.500000)", None, None]
+    assert (rows[0].start_text, rows[0].end_text) == (
+        "51.500000, -0.100000", "51.600000, -0.200000")
+    assert [r.end_text for r in rows[2:4]] == [None, None]
+    assert rows[4].start_text is None and rows[4].geometry is None
     assert rows[0].geometry[1].lat == 51.6
     point = df.select(geometry.point("start_lon", "start_lat").alias("p"),
                       geometry.point_wkt("start_lon", "start_lat").alias("w"),
                       geometry.grid_point("start_lon", "start_lat").alias("g")).first()
-    assert (point.p.lon, point.w, point.g.srid) == (-0.1, "POINT (-0.1 51.5)", 27700)
+    null = df.select(geometry.point_wkt("end_lon", "end_lat").alias("w"),
+                     geometry.point("end_lon", "end_lat").alias("p")).collect()[3]
+    assert (null.w, null.p) == (None, None)
+    assert (point.p.lon, point.w, point.g.srid) == (-0.1, "POINT (-0.100000 51.500000)", 27700)
 
 
 def test_picks_repeat_on_any_partitioning(spark):

@@ -204,8 +204,31 @@ def test_message(spark):
         "dead_pairs long")
     pick = spark.createDataFrame([("A", "B")], "start_station_name string, end_station_name string")
     assert dead.dead_trips_message(summary, pick).first()[0] == (
-        "Of 1,440,000 possible trips between 1200 stations, 1,439,999 have never been recorded. "
-        "Be the first to ride from A to B.")
+        "5 of the 1,440,000 pairs among 1200 stations are unridden, such as A to B.")
+    ridden = summary.withColumn("dead_pairs", F.lit(0).cast("bigint"))
+    assert dead.dead_trips_message(ridden, pick.where("false")).first()[0] == (
+        "All 1,440,000 pairs among 1200 stations have been ridden.")
+
+
+def test_undated_trips_are_no_bike_day(spark):
+    days = [(7, "s1", "s2", 60, 2016, 1, 1)] * 2 + [(8, "s1", "s2", 60, None, None, None)] * 9
+    trips = make_trips(spark, days)
+    assert [r.bike_id for r in fleet.top_bike_days(trips).collect()] == [7]
+    pick = fleet.pick_busy_bike(trips).first()
+    assert (pick.bike_id, pick.start_year) == (7, 2016)
+    assert [r.bike_days for r in distributions.trip_count_hist(trips).collect()] == [1]
+    assert fleet.busy_bikes(trips).count() == 2
+
+
+def test_histogram_bounds_are_arguments(spark):
+    trips = make_trips(spark, [(1, "s1", "s2", n, 2016, 1, 1) for n in range(1, 4001)])
+    assert distributions.duration_hist(trips).first().bins <= 50
+    few = distributions.duration_hist(trips, max_bins=4).collect()
+    assert len(few) == 4 and sum(r.trips for r in few) == 4000
+    assert distributions.duration_hist(trips, max_bins=4, shown=(1, 2)).count() == 2
+    short = distributions.duration_hist(trips, limit_seconds=100).collect()
+    assert sum(r.trips for r in short) == 99
+    assert distributions.duration_density(trips, limit_seconds=600).count() == 11
 
 
 def test_coordinates_of_pairs(spark):
@@ -220,7 +243,7 @@ def test_coordinates_of_pairs(spark):
 
 def test_trip_count_histogram_is_numpy_s(sample):
     rows, trips = sample
-    per_day = collections.Counter((r[0], *r[4:]) for r in rows)
+    per_day = collections.Counter((r[0], *r[4:]) for r in rows if r[4] is not None)
     counts, edges = np.histogram(list(per_day.values()), bins=20)
     got = {r.bin: r for r in distributions.trip_count_hist(trips).collect()}
     assert {b: r.bike_days for b, r in got.items()} == {

@@ -7,8 +7,6 @@ from compare import connect, differences
 from spokeframe.plans.catalog import QUERIES
 from spokeframe.plans.oracle import oracle_sql
 
-ROWS_ONLY = {"preview"}
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -18,15 +16,11 @@ def duck(sf_dir):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
     df = QUERIES[name](spark, sf_dir)
-    if name in ROWS_ONLY:
-        assert df.count() == 10
-    else:
-        assert differences(df, duck, oracle_sql()[name]) == []
+    assert differences(df, duck, oracle_sql()[name]) == []
 
 
-def test_every_query_but_the_preview_has_sql():
-    assert set(QUERIES) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(oracle_sql())
 
 
 def test_entry_has_rows(spark):

@@ -24,7 +24,8 @@ def test_no_python_workers_and_no_nested_loops(spark, sf_dir, name):
 
 def test_trips_are_read_by_column(spark, sf_dir):
     plan = plan_of(QUERIES["trips_by_year"](spark, sf_dir))
-    assert "ReadSchema: struct<start_year:int>" in plan
+    # Years are folder names; no column is read to count by them.
+    assert "ReadSchema: struct<>" in plan
     plan = plan_of(QUERIES["top_start_stations"](spark, sf_dir))
     assert "TakeOrderedAndProject" in plan and "ReadSchema: struct<start_station_name:string>" in plan
 
@@ -32,9 +33,33 @@ def test_trips_are_read_by_column(spark, sf_dir):
 def test_filters_reach_the_scan(spark, sf_dir):
     trips, points = fixtures.trips(spark, sf_dir), fixtures.stations(spark, sf_dir)
     plan = plan_of(fleet.bike_journeys(trips, points, 7, 1996, 3, 2))
-    for pushed in ("EqualTo(bike_id,7)", "EqualTo(start_year,1996)", "EqualTo(start_month,3)",
-                   "EqualTo(start_day,2)"):
+    for pushed in ("EqualTo(bike_id,7)", "EqualTo(start_day,2)"):
         assert pushed in plan
+    folders = re.search(r"PartitionFilters: \[(.*?)\]", plan)[1]
+    assert "= 1996" in folders and "= 3" in folders
+
+
+def test_the_chosen_day_prunes_the_month_folders(spark, sf_dir):
+    df = QUERIES["bike_journeys"](spark, sf_dir)
+    assert re.search(r"PartitionFilters: \[[^\]]*start_year[^\]]*subquery", plan_of(df), re.I)
+
+
+JOINS = ["bike_journeys", "station_map", "stations_by_name", "trip_lines", "dead_trips",
+         "pair_matrix", "dead_trips_summary", "manifest_new_files"]
+
+
+@pytest.mark.parametrize("name", JOINS)
+def test_joins_without_broadcasts_compare_keys(spark, sf_dir, name):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    if name == "trip_lines":
+        # The pairs' blocks and the anti join are the only joins; coordinates come along.
+        assert len(re.findall(r"(?:SortMerge|ShuffledHash|BroadcastHash)Join", plan)) == 2
     assert "LessThan(duration,7200)" in plan_of(QUERIES["duration_hist"](spark, sf_dir))
 
 

@@ -133,6 +133,8 @@ def test_weather_text(spark, tmp_path, folder):
     unsigned = weather.parse_weather(lines, keep_sign=False)
     expected[(1963, 1)] = (0.8, 4.4, 25.0, 33.8, 52.0)
     assert {tuple(r[:2]): tuple(r[2:]) for r in unsigned.collect()} == expected
+    marked = weather.parse_weather(lines, keep_marked=True)
+    assert (2018, 9, 21.2) in {tuple(r[:3]) for r in marked.collect()}
     weather.write_weather_csv(signed, folder)
     back = weather.read_weather_csv(spark, folder)
     assert sorted(map(str, back.collect())) == sorted(map(str, signed.collect()))
