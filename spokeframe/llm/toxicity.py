@@ -3,7 +3,7 @@
 Two zstandard dictionaries are trained, one on text of toxic documents and one on ordinary text. A
 window of a text that the toxic dictionary compresses to a small part of what it costs by the
 ordinary one leans toxic. A document is judged by how many of its windows lean, strongly or less so,
-and by their share; a logistic curve over these, fitted on labelled rows that no dictionary has seen,
+and by their share; a logistic curve over these, fitted on labelled rows that the dictionaries in question have not seen,
 calibrates the score.
 
 A window is one word between blanks. So short a text zstandard would store as it is; the window is
@@ -18,6 +18,8 @@ has no training rows every score is 0. Repeated ids join labels as they stand; a
 several labels trains with the greatest.
 """
 
+import collections
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -33,6 +35,9 @@ SEARCH = {"window_log": 17, "hash_log": 13, "chain_log": 14, "search_log": 9, "m
           "strategy": 5}
 THRESHOLD = 0.7
 
+# How much commoner in toxic texts than in ordinary ones a word of the toxic dictionary is.
+TELLING = 40
+
 CARRIER, TAIL = bytes(range(128, 192)), bytes(range(240, 252))
 
 # A window leans if it is ``LEAST`` bytes shorter by the toxic dictionary and costs at most one of
@@ -90,17 +95,17 @@ class Leaning:
 
 
 def _dictionary(texts, other, size):
-    """Train on the words that at least one text in three hundred has and ``other`` has not.
+    """Train on the words that at least one text in three hundred has and that are
+    ``TELLING`` times as common as in ``other`` texts.
 
     The commonest follow once more as they are, so that the nearest match is the likeliest.
     """
     import zstandard
 
-    seen = {}
-    for words in texts:
-        for word in words:
-            if word not in other:
-                seen[word] = seen.get(word, 0) + 1
+    seen = collections.Counter(word for words in texts for word in words)
+    elsewhere = collections.Counter(word for words in other for word in words)
+    bound = TELLING * len(texts) / max(len(other), 1)
+    seen = {word: n for word, n in seen.items() if n > bound * elsewhere[word]}
     least = max(2, len(texts) // 300)
     common = sorted((w for w, n in seen.items() if n >= least), key=lambda w: (-seen[w], w))
     samples = [b" " + w for w in common for _ in range(min(seen[w], 50))]
@@ -132,26 +137,32 @@ def _fit_logistic(x, y, rounds=60, ridge=1e-2):
     return weights
 
 
+def _dictionaries(toxic_texts, ordinary_texts):
+    toxic, ordinary = ([set(t.lower().encode().split()) for t in texts]
+                       for texts in (toxic_texts, ordinary_texts))
+    return (_dictionary(toxic, ordinary, DICTIONARY_BYTES),
+            _dictionary(ordinary, [], DICTIONARY_BYTES))
+
+
 def fit(rows):
     """``(toxic dictionary, ordinary dictionary, weights)`` of rows ``text, toxic``.
 
-    Half of the rows train the dictionaries and the other half the curve. None where a label has
-    fewer than two rows.
+    The curve is fitted on each half of the rows as judged by dictionaries of the other half; the
+    dictionaries that are kept are trained on all. None where a label has fewer than two rows.
     """
-    split = {(label, part): [] for label in (0, 1) for part in (0, 1)}
-    for i, (text, label) in enumerate(rows):
-        mine = split[label, 0], split[label, 1]
-        mine[len(mine[0]) > len(mine[1])].append(text)
-    if not all(split.values()):
+    texts = {0: [], 1: []}
+    for text, label in rows:
+        texts[label].append(text)
+    if min(map(len, texts.values())) < 2:
         return None
-    words = {key: [set(t.lower().encode().split()) for t in texts] for key, texts in split.items()}
-    ordinary_words = set().union(*words[0, 0])
-    toxic = _dictionary(words[1, 0], ordinary_words, DICTIONARY_BYTES)
-    ordinary = _dictionary(words[0, 0], frozenset(), DICTIONARY_BYTES)
-    leaning = Leaning(toxic, ordinary)
-    x = np.array([leaning.features(t) for label in (0, 1) for t in split[label, 1]])
-    y = np.repeat([0.0, 1.0], [len(split[0, 1]), len(split[1, 1])])
-    return toxic, ordinary, _fit_logistic(x, y)
+    x, y = [], []
+    for part in (0, 1):
+        leaning = Leaning(*_dictionaries(texts[1][part::2], texts[0][part::2]))
+        for label in (0, 1):
+            judged = texts[label][1 - part::2]
+            x += map(leaning.features, judged)
+            y += [float(label)] * len(judged)
+    return *_dictionaries(texts[1], texts[0]), _fit_logistic(np.array(x), np.array(y))
 
 
 def training_rows(docs, labels, fit_rows=FIT_ROWS):
