@@ -5,11 +5,14 @@ lines that start there: places have equal ranks at a level if and only if those
 rank of a level is made from two ranks of the level before, a power of two apart, so all places of a
 document double together in its own row and nothing is shuffled until the ranks are grouped.
 
-What is compared at a place is the least run of lines from there with ``min_words`` words; by its two
-overlapping power-of-two pieces it has a rank too. Places of equal rank are one interval of the
-suffix array whose common prefix is at least that run; its first place in corpus order keeps the
-lines, the others are later copies. Every longer repeated run consists of such runs, so joining those
-that overlap gives the maximal repeated runs. The number of levels depends on ``min_words`` only.
+Compared are the least runs with ``min_words`` words: from each place forward and, where that ends
+before it, from a line of fewer words backward to the place; by its two overlapping power-of-two
+pieces a run has a rank too. Places of equal rank are one interval of the suffix array whose common
+prefix is at least that run; its first place in corpus order keeps the lines, the others are later
+copies. That deletes the maximal repeated runs whole: take a line in a longer run that stands
+earlier, and cut the run down around the line while ``min_words`` words are left. What remains is
+least from its first line, or ends in the line and is least backward, and it stands earlier as well.
+The number of levels depends on ``min_words`` only.
 
 Intervals are reduced to their first place before and after the one shuffle of places; a line that
 stands in a third of all documents is one partial row per task there, and the join back to its places
@@ -17,7 +20,7 @@ is one that adaptive execution splits.
 
 Defined results: corpus order is ``doc_id`` (nulls first), then a hash of the text, then the line.
 Rows equal in id and text are one document and fare alike. Lines without a word are in no run; they
-stay, but for those between two deleted lines of a run. A null text is empty. A document all of whose
+stay, but for those between two deleted lines. A null text is empty. A document all of whose
 lines with words go is deleted, one that had none stays as it is.
 """
 
@@ -36,9 +39,8 @@ def _doubled(step, ranks):
         i + step < F.size(ranks), F.xxhash64(r, ranks.getItem(i + step))))
 
 
-def _run_length(words, i, min_words):
-    """Lines from ``i`` to reach ``min_words`` words; null where the document ends before."""
-    ahead = F.slice(words, i + 1, min_words)
+def _run_length(ahead, min_words):
+    """Leading lines of ``ahead`` that reach ``min_words`` words; null where all together do not."""
     summed = F.aggregate(
         ahead, F.struct(F.lit(0).alias("lines"), F.lit(0).alias("words")),
         lambda s, n: F.when(s["words"] >= min_words, s).otherwise(F.struct(
@@ -46,8 +48,25 @@ def _run_length(words, i, min_words):
     return let(summed, lambda s: F.when(s["words"] >= min_words, s["lines"]))
 
 
+def _forward(words, i, min_words):
+    """Lines of the least run from ``i``."""
+    return _run_length(F.slice(words, i + 1, min_words), min_words)
+
+
+def _backward(words, i, min_words):
+    """Lines of the least run up to ``i``, null where it is also the least from its first line."""
+    first = F.greatest(i - (min_words - 1), F.lit(0))
+    n = _run_length(F.reverse(F.slice(words, first + 1, i - first + 1)), min_words)
+    return let(n, lambda n: F.when((n > 1) & (F.aggregate(
+        F.slice(words, i - n + 2, F.greatest(n - 1, F.lit(0))), F.lit(0), lambda s, w: s + w)
+        >= min_words), n))
+
+
 def suffix_ranks(docs, min_words=MIN_WORDS, doc_id="doc_id", text="text"):
-    """``rank, doc_id, tie, line, last``: one row per place, with the run that starts there."""
+    """``rank, doc_id, tie, line, last, next``: the least runs with their first and last line.
+
+    ``next`` is the line with words after the last one.
+    """
     plain = only(docs, doc_id=doc_id, text=text).withColumn("text", text_or_empty("text"))
     lines = F.filter(
         F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(
@@ -65,24 +84,26 @@ def suffix_ranks(docs, min_words=MIN_WORDS, doc_id="doc_id", text="text"):
             F.col(f"level{h - 1}"), functools.partial(_doubled, 1 << (h - 1))))
     every = F.array(*(f"level{h}" for h in range(levels)))
 
-    def place(s, i, words, ranks):
-        def ranked(n):
-            h = F.floor(F.log2(n.cast("double"))).cast("int")
-            back = n - F.pow(F.lit(2), h).cast("int")
-            return F.struct(
-                F.xxhash64(n, ranks[h][i], ranks[h][i + back]).alias("rank"),
-                s["line"].alias("line"), n.alias("lines"))
-
-        return let(_run_length(words, i, min_words),
-                   lambda n: F.when(n.isNotNull(), ranked(n)))
+    def run(x, i, n):
+        """The run of ``n`` lines from ``i``."""
+        ranks, lines = x["r"], x["l"]
+        h = F.floor(F.log2(n.cast("double"))).cast("int")
+        back = n - F.pow(F.lit(2), h).cast("int")
+        last = lines[i + n - 1]["line"]
+        return F.when(n.isNotNull(), F.struct(
+            F.xxhash64(n, ranks[h][i], ranks[h][i + back]).alias("rank"),
+            lines[i]["line"].alias("line"), last.alias("last"),
+            F.coalesce(F.get(lines, i + n)["line"], last).alias("next")))
+
+    def runs(x, s, i):
+        short = F.when(s["words"] < min_words, _backward(x["w"], i, min_words))
+        return F.array(
+            let(_forward(x["w"], i, min_words), lambda n: run(x, i, n)),
+            let(short, lambda n: run(x, i - n + 1, n)))
 
     placed = let(F.struct(F.col("words").alias("w"), every.alias("r"), F.col("lines").alias("l")),
-                 lambda x: F.filter(F.transform(
-                     x["l"], lambda s, i: let(place(s, i, x["w"], x["r"]), lambda p: F.when(
-                         p.isNotNull(), F.struct(
-                             p["rank"].alias("rank"), p["line"].alias("line"),
-                             x["l"][i + p["lines"] - 1]["line"].alias("last"))))),
-                     lambda p: p.isNotNull()))
+                 lambda x: F.filter(F.flatten(F.transform(
+                     x["l"], lambda s, i: runs(x, s, i))), lambda p: p.isNotNull()))
     return rows.select("doc_id", "tie", F.inline(placed))
 
 
@@ -97,19 +118,20 @@ def repeated_runs(docs, min_words=MIN_WORDS, doc_id="doc_id", text="text"):
     later = places.join(intervals, F.col("rank") == F.col("interval")).where(
         ~place.eqNullSafe(F.col("first")))
     grouped = later.groupBy("doc_id", "tie").agg(
-        F.array_sort(F.collect_set(F.struct("line", "last"))).alias("found"))
+        F.array_sort(F.collect_set(F.struct("line", "last", "next"))).alias("found"))
 
     def merge(runs, r):
         end = F.element_at(runs, -1)
         joined = F.struct(end["line"].alias("line"),
-                          F.greatest(end["last"], r["last"]).alias("last"))
+                          F.greatest(end["last"], r["last"]).alias("last"),
+                          F.greatest(end["next"], r["next"]).alias("next"))
         return F.when(
-            (F.size(runs) > 0) & (r["line"] <= F.try_element_at(runs, F.lit(-1))["last"] + 1),
+            (F.size(runs) > 0) & (r["line"] <= F.try_element_at(runs, F.lit(-1))["next"]),
             F.concat(F.slice(runs, F.lit(1), F.greatest(F.size(runs) - 1, F.lit(0))),
                      F.array(joined)),
         ).otherwise(F.concat(runs, F.array(r)))
 
-    none = F.array().cast("array<struct<line:int,last:int>>")
+    none = F.array().cast("array<struct<line:int,last:int,next:int>>")
     return grouped.select("doc_id", "tie", F.aggregate("found", none, merge).alias("runs"))
 
 

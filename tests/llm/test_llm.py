@@ -125,6 +125,67 @@ def test_line_dedup_keeps_the_first_run(docs):
     assert 2 not in got and got[4] == "" and got[3] is None
 
 
+def brute_line_dedup(rows, min_words=10):
+    """Texts without lines of any run that stands earlier, all runs of all lengths compared."""
+    docs = [[(k, t, len(WORD.findall(t))) for k, t in enumerate(text.split("\n"))]
+            for _, text in sorted(rows)]
+    worded = [[x for x in lines if x[2]] for lines in docs]
+    seen, gone = set(), [set() for _ in docs]
+    for d, lines in enumerate(worded):
+        for a in range(len(lines)):
+            run, words = (), 0
+            for b in range(a, len(lines)):
+                run, words = (*run, lines[b][1]), words + lines[b][2]
+                if words >= min_words:
+                    if run in seen:
+                        gone[d].update(range(a, b + 1))
+                    seen.add(run)
+    left = {}
+    for (i, text), own, lines, out in zip(sorted(rows), docs, worded, gone):
+        dropped = {lines[k][0] for k in out}
+        for a, b in zip(sorted(out), sorted(out)[1:]):
+            if b == a + 1:
+                dropped.update(range(lines[a][0], lines[b][0]))
+        kept = [t for k, t, _ in own if k not in dropped]
+        if not out or any(WORD.search(t) for t in kept):
+            left[i] = "\n".join(kept)
+    return left
+
+
+def test_line_dedup_deletes_whole_runs(spark):
+    def line(name, n):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    copy = "\n".join([line("a", 10), line("b", 3), line("c", 4)])
+    rows = [(1, copy), (2, copy), (3, copy + "\nown end"), (4, "own start\n\n" + copy),
+            (5, line("b", 3) + "\n" + line("c", 4)), (6, copy + "\n\n" + copy)]
+    rng = np.random.default_rng(11)
+    pool = [line(f"p{k}_", int(n)) for k, n in enumerate(rng.integers(0, 14, 24))]
+    for i in range(7, 150):
+        begin = int(rng.integers(0, 20))
+        lines = pool[begin:begin + int(rng.integers(1, 9))] + [line(f"own{i}_", 2)]
+        if rng.random() < 0.5:
+            lines = lines[:-1] + [pool[int(k)] for k in rng.integers(0, 24, 3)]
+        rows.append((i, "\n".join(lines)))
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == copy and 2 not in got and got[3] == "own end" and got[4] == "own start\n"
+    assert 5 in got and 6 not in got
+    assert got == brute_line_dedup(rows)
+
+
+def test_line_dedup_leaves_nothing_of_exact_copies(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    got = {r.doc_id: r.text for r in queries()["op3_line_dedup"](
+        spark, "/root/testdata/sf0.01").collect()}
+    first = {}
+    for i, text in sorted((r.doc_id, r.text) for r in rows):
+        if first.setdefault(text, i) != i and len(WORD.findall(text)) >= 10:
+            assert i not in got
+    assert got == brute_line_dedup([tuple(r) for r in rows])
+
+
 def test_mix_meets_its_targets(spark):
     got = queries()["op4_source_mix"](spark, SF).groupBy("target", "source_size").agg(
         F.sum("taken").alias("taken"), F.max("size").alias("largest")).collect()
