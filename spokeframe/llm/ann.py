@@ -7,8 +7,8 @@
   centroid, and also to those of others about as near (``REPLICATE``): vectors on a boundary are in
   several lists.
 * A query finds its nearest centroids by best-first search in a graph of centroids held in memory, and
-  reads the lists whose distance is within a ratio (``PRUNE``) of the nearest one's, ``MAX_READ`` at
-  most.
+  reads all lists whose distance is within a ratio (``PRUNE``) of the nearest one's. Where those the
+  search kept end within the ratio, all centroids are measured, so the ratio alone decides.
 * Queries and lists meet by a join on the list. A list too large for a task is cut into blocks, all of
   which the queries visit. The candidates' cosines are computed in double precision from the vectors
   as given.
@@ -38,7 +38,7 @@ PER_LIST, MAX_LISTS, SAMPLE_PER_LIST = 128, 1 << 14, 16
 
 # Distance ratios: lists a vector is written to (at most REPLICAS), and lists a query reads.
 REPLICATE, REPLICAS = 1.08, 4
-PRUNE, MIN_LISTS, MAX_READ = 1.3, 16, 128
+PRUNE, MIN_LISTS = 1.3, 16
 
 # Neighbours of a centroid in the graph, and candidates kept in a search.
 DEGREE, BEAM = 24, 64
@@ -134,12 +134,25 @@ class Lists:
         found = sorted(best, reverse=True)
         return np.array([i for _, i in found]), np.array([c for c, _ in found])
 
-    def near(self, vector, ratio, least, most):
-        """The lists within ``ratio`` of the nearest one's distance, between least and most many."""
-        nodes, cosines = self.search(vector, max(most, BEAM))
-        distance = np.sqrt(np.maximum(2 - 2 * cosines, 0))
-        wanted = int((distance <= distance[0] * ratio + 1e-6).sum())
-        return nodes[:min(max(wanted, least), most)]
+    def all(self, vector):
+        """All centroids with their cosines, nearest first."""
+        cosines = self.centroids @ vector
+        order = np.argsort(-cosines, kind="stable")
+        return order, cosines[order]
+
+    def near(self, vector, ratio, least, most=None):
+        """The lists within ``ratio`` of the nearest one's distance, at least ``least`` and, if given,
+        at most ``most``."""
+        def within(cosines):
+            distance = np.sqrt(np.maximum(2 - 2 * cosines, 0))
+            return int((distance <= distance[0] * ratio + 1e-6).sum())
+
+        nodes, cosines = self.search(vector, max(most or least, BEAM))
+        wanted = within(cosines)
+        if wanted == len(nodes) < len(self.centroids) and most is None:
+            nodes, cosines = self.all(vector)
+            wanted = within(cosines)
+        return nodes[:min(max(wanted, least), most or len(nodes))]
 
 
 def _array(column):
@@ -193,7 +206,7 @@ def fit(classes, n, per_list=PER_LIST, max_lists=MAX_LISTS):
     return _array(found["c"]) if len(found) else np.zeros((0, 1))
 
 
-def _assigned(shared, ratio, least, most):
+def _assigned(shared, ratio, least, most=None):
     def run(frames):
         lists = shared.value
         for frame in frames:
@@ -223,8 +236,8 @@ def _meet(keep):
     return run
 
 
-def search(vectors, is_query, nearest=NEAREST, prune=PRUNE, min_lists=MIN_LISTS, max_read=MAX_READ,
-           per_list=PER_LIST, max_lists=MAX_LISTS, vec_id="vec_id", embedding="embedding"):
+def search(vectors, is_query, nearest=NEAREST, prune=PRUNE, min_lists=MIN_LISTS, per_list=PER_LIST,
+           max_lists=MAX_LISTS, vec_id="vec_id", embedding="embedding"):
     """``query_id, rank, vec_id, score``: the nearest found of every row that ``is_query`` holds for.
 
     ``is_query`` is a condition on ``vec_id``.
@@ -245,7 +258,7 @@ def search(vectors, is_query, nearest=NEAREST, prune=PRUNE, min_lists=MIN_LISTS,
         _assigned(shared, REPLICATE, 1, REPLICAS), "key bigint, list bigint"))
     queries = classes.join(asked.select(F.col("query").alias("key")).distinct(), "key", "left_semi")
     visits = through_table(queries.select("key", "v").mapInPandas(
-        _assigned(shared, prune, min_lists, max_read), "key bigint, list bigint"))
+        _assigned(shared, prune, min_lists), "key bigint, list bigint"))
 
     # Each side is dealt to blocks of its own and copied to all blocks of the other.
     own = postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("own"))

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from __spark_entry__ import oracle_sql, queries
@@ -360,6 +361,40 @@ def test_nearest_neighbours(spark):
     assert ann.search(df.where("vec_id > 4999"), F.lit(True)).count() == 0
 
 
+def test_the_ratio_alone_decides_which_lists_are_read():
+    rng = np.random.default_rng(4)
+    lists = ann.Lists(ann.unit(rng.normal(size=(600, 64))))
+    queries_ = ann.unit(rng.normal(size=(20, 64)))
+    wide = 0
+    assigned = ann._assigned(type("Shared", (), {"value": lists}), ann.PRUNE, ann.MIN_LISTS)
+    frame = pd.DataFrame({"key": range(20), "v": list(queries_)})
+    read = next(assigned([frame])).groupby("key")["list"].agg(set)
+    for i, q in enumerate(queries_):
+        distance = np.sqrt(2 - 2 * lists.centroids @ q)
+        within = set(np.flatnonzero(distance <= distance.min() * ann.PRUNE).tolist())
+        assert within <= read[i]
+        wide += len(within) > 128
+    assert wide
+
+
+def test_nearest_neighbours_recall_on_many_lists(spark):
+    table = "/root/testdata/check_l/embeddings.parquet"
+    vectors = spark.read.parquet(table).select("vec_id", "embedding")
+    asked = F.col("vec_id") % 50 == 0
+    got = collections.defaultdict(set)
+    for r in ann.search(vectors, asked).collect():
+        got[r.query_id].add(r.vec_id)
+    rows = vectors.toPandas()
+    ids, unit = rows["vec_id"].to_numpy(), np.stack(rows["embedding"]).astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    hits = 0
+    for i in got:
+        cosines = unit @ unit[ids == i][0]
+        cosines[ids == i] = -2
+        hits += len(set(ids[np.lexsort((ids, -cosines))[:5]].tolist()) & got[i])
+    assert len(got) > 900 and hits >= 0.99 * 5 * len(got)
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     got = queries()["op10_toxicity"](spark, sf).join(
