@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from spokeframe.llm import (
-    ann, chat, linededup, lm, minhash, mixing, packing, secrets, toxicity, winnow,
+    ann, chat, fim, linededup, lm, minhash, mixing, packing, pii, runs, secrets, toxicity, winnow,
 )
-from spokeframe.llm.sql import CHAT, LINE_DEDUP, MIXING
+from spokeframe.llm.columns import WORD, let, text_or_empty
+from spokeframe.llm.sql import CHAT, FILL_IN_MIDDLE, LINE_DEDUP, MIXING, PERSONAL_DATA
 
 
 def _table(spark, sf_dir, name):
@@ -103,6 +104,59 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score_documents(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    told = fim.restore(fim.transform(_documents(spark, sf_dir)))
+    return told.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256",
+                       "restored_sha256")
+
+
+def op12_personal_data(spark, sf_dir):
+    found = pii.scan(_documents(spark, sf_dir))
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    numbers = (number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:pii.BASE_KINDS]))
+    return found.select("doc_id", *numbers, F.sha2(pii.as_text("base"), 256).alias("base_sha256"),
+                        pii.as_text("spans").alias("spans"))
+
+
+def with_periodic_tails(docs):
+    """``doc_id, text``: the texts of one document in ten go on periodically from one of their words."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    g = F.floor(h / 10)
+
+    def tailed(words):
+        n = F.size(words).cast("bigint")
+        def repeated(cut):
+            a, p = cut["a"], F.lit(1) + F.floor((n - cut["a"]) / (F.lit(3) + cut["g"] % 8))
+            return F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(
+                words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+        return F.when(n > 0, let(F.struct((g % n).alias("a"), g.alias("g")), repeated)).otherwise("")
+
+    text = text_or_empty("text")
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, let(words, tailed)).otherwise(text).alias("text"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    found = runs.periodic_runs(with_periodic_tails(_documents(spark, sf_dir)))
+    # Quotients of numbers below 2**26 are equal as doubles only if they are equal.
+    best = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"] / r["period"]).alias("exponent"), r["start"].alias("start"),
+        r["period"].alias("period"), r["length"].alias("length"))))
+    said = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))),
+        F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("bigint")
+        .alias("exponent_milli"),
+        F.sha2(said, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_near_duplicates": op2_near_duplicates,
@@ -114,6 +168,9 @@ QUERIES = {
     "op8_lm_scores": op8_lm_scores,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_personal_data": op12_personal_data,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -121,4 +178,6 @@ ORACLE_SQL = {
     "op3_line_dedup": LINE_DEDUP,
     "op4_source_mix": MIXING,
     "op7_chat_format": CHAT,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op12_personal_data": PERSONAL_DATA,
 }

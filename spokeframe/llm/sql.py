@@ -106,3 +106,134 @@ SELECT conv_id, count(*) AS n_turns,
          AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
+
+FILL_IN_MIDDLE = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), numbers AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS one,
+         ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS other,
+         ('0x' || substr(h, 17, 8))::BIGINT % 100 AS whether,
+         ('0x' || substr(h, 25, 8))::BIGINT % 100 AS which
+  FROM drawn
+), formed AS (
+  SELECT *, least(one, other) AS a, greatest(one, other) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR whether >= 90 THEN 'plain'
+              WHEN which < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), cut AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix
+  FROM formed
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+         AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""
+
+PERSONAL_DATA = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS tie FROM documents
+), kinds(kind, name, pattern) AS (VALUES
+  (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'),
+  (1, 'ip', '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'),
+  (2, 'card', '[0-9](?:[\x20-]?[0-9])+'),
+  (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')
+), matched AS (
+  SELECT DISTINCT doc_id, tie, kind, string_split_regex(t, pattern) AS gaps,
+         regexp_extract_all(t, pattern) AS said
+  FROM docs CROSS JOIN kinds WHERE regexp_matches(t, pattern)
+), steps AS (
+  SELECT doc_id, tie, kind, unnest(range(len(said))) AS k, unnest(said) AS said,
+         unnest(gaps[1:len(said)]) AS before, unnest(gaps[2:]) AS after
+  FROM matched
+), placed AS (
+  SELECT *, sum(length(before) + length(said)) OVER (PARTITION BY doc_id, tie, kind ORDER BY k) AS "end",
+         regexp_replace(said, '[^0-9]', '', 'g') AS digits
+  FROM steps
+), base AS (
+  SELECT doc_id, tie, kind, ("end" - length(said))::BIGINT AS start, "end"::BIGINT AS "end",
+         before, after, kind || ':' || CASE WHEN kind = 0 THEN lower(said) WHEN kind = 1 THEN said
+                                            ELSE digits END AS entity
+  FROM placed
+  WHERE kind = 0
+     OR kind = 1 AND list_bool_and([TRY_CAST(p AS HUGEINT) <= 255 FOR p IN string_split(said, '.')])
+     OR kind = 2 AND length(digits) BETWEEN 14 AND 19 AND list_sum([
+          CASE WHEN i % 2 = 0 THEN substr(digits, length(digits) - i, 1)::INT
+               WHEN substr(digits, length(digits) - i, 1)::INT > 4
+               THEN substr(digits, length(digits) - i, 1)::INT * 2 - 9
+               ELSE substr(digits, length(digits) - i, 1)::INT * 2 END
+          FOR i IN range(length(digits))]) % 10 = 0
+     OR kind = 3 AND length(digits) BETWEEN 10 AND 15
+), pieces AS (
+  SELECT doc_id, tie, entity, CASE WHEN length(before) > 120 THEN substr(before, length(before) - 119)
+                                   ELSE before END AS piece,
+         start - least(length(before), 120) AS begun, length(before) > 120 AS cut_left, FALSE AS cut_right
+  FROM base
+  UNION ALL
+  SELECT doc_id, tie, entity, substr(after, 1, 120), "end", FALSE, length(after) > 120 FROM base
+), words AS (
+  SELECT *, unnest(range(len(regexp_extract_all(piece, '[^\x20\x09-\x0D]+')))) AS k,
+         unnest(regexp_extract_all(piece, '[^\x20\x09-\x0D]+')) AS word,
+         unnest(string_split_regex(piece, '[^\x20\x09-\x0D]+')[1:len(
+           regexp_extract_all(piece, '[^\x20\x09-\x0D]+'))]) AS gap
+  FROM (SELECT row_number() OVER () AS piece_id, * FROM pieces)
+), spelled AS (
+  SELECT *, sum(length(gap) + length(word)) OVER (PARTITION BY piece_id ORDER BY k) AS word_end,
+         regexp_extract(word,
+           '^\p{P}*(\p{L}[\p{L}\p{M}]{2,}(?:[''’-][\p{L}\p{M}]+)*)\p{P}*$', 1) AS core
+  FROM words
+), terms AS (
+  SELECT doc_id, tie, entity, lower(core) AS term,
+         (begun + word_end - length(word) + instr(word, core) - 1)::BIGINT AS start,
+         length(core) AS chars
+  FROM spelled
+  WHERE core <> '' AND NOT (cut_left AND word_end = length(word)) AND NOT (cut_right AND word_end = 120)
+), corpus AS (
+  SELECT term, count(*) AS documents FROM (
+    SELECT unnest(list_distinct([regexp_extract(w,
+             '^\p{P}*(\p{L}[\p{L}\p{M}]{2,}(?:[''’-][\p{L}\p{M}]+)*)\p{P}*$', 1)
+             FOR w IN regexp_extract_all(lower(t), '[^\x20\x09-\x0D]+')])) AS term
+    FROM docs) WHERE term <> '' GROUP BY term
+), pairs AS (
+  SELECT term, entity, count(*) AS together
+  FROM (SELECT DISTINCT term, entity, doc_id, tie FROM terms)
+  GROUP BY term, entity HAVING count(*) >= 2 AND min(tie) < max(tie)
+), entities AS (
+  SELECT entity, count(*) AS held FROM (SELECT DISTINCT entity, doc_id, tie FROM base) GROUP BY entity
+), revealing AS (
+  SELECT term, entity, 1 - ln(documents / together) / ln(n / held) AS strength
+  FROM pairs JOIN entities USING (entity) JOIN corpus USING (term), (SELECT count(*) AS n FROM docs)
+  WHERE n > held
+), judged AS (
+  SELECT doc_id, tie, start, min(CASE WHEN strength >= 0.95 THEN 4 ELSE 5 END) AS kind,
+         start + chars AS "end"
+  FROM terms JOIN revealing USING (term, entity) WHERE strength >= 0.8
+  GROUP BY doc_id, tie, start, chars
+), spans AS (
+  SELECT doc_id, tie, start, kind, "end" FROM base UNION ALL SELECT * FROM judged
+), written AS (
+  SELECT doc_id, tie, string_agg(['email', 'ip', 'card', 'phone', 'removed', 'generalised'][kind + 1]
+                                 || ':' || start || ':' || "end", ',' ORDER BY start, kind) AS spans
+  FROM spans GROUP BY doc_id, tie
+), based AS (
+  SELECT doc_id, tie, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip,
+         count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
+         string_agg(['email', 'ip', 'card', 'phone'][kind + 1] || ':' || start || ':' || "end", ','
+                    ORDER BY start, kind) AS base
+  FROM base GROUP BY doc_id, tie
+)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
+       coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d
+LEFT JOIN based b ON b.doc_id IS NOT DISTINCT FROM d.doc_id AND b.tie = d.tie
+LEFT JOIN written w ON w.doc_id IS NOT DISTINCT FROM d.doc_id AND w.tie = d.tie
+"""
