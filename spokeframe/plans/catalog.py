@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from spokeframe.operators import dead_trips as dead
-from spokeframe.operators import distributions, fleet, prepare, stations, usage, weather
+from spokeframe.operators import distributions, drift, fleet, prepare, stations, usage, weather
 from spokeframe.plans import fixtures
 from spokeframe.session import shared_folder
 from spokeframe.sources import listing as listing_files
@@ -61,6 +61,46 @@ def write_trips(spark, sf_dir):
     return _through_files(fixtures.trips(spark, sf_dir), by_month, trip_files.read_trips)
 
 
+def merge_trips(spark, sf_dir):
+    """A feed in two deliveries, of which the second repeats a third of the first."""
+    raw = fixtures.raw_trips(spark, sf_dir)
+    top = fixtures.table(spark, sf_dir, "lineitem").select(F.max("l_orderkey") * 10).scalar()
+    first, second = (raw.where(part) for part in (
+        F.col("rental_id") * 3 < top * 2, F.col("rental_id") * 3 >= top))
+    path, folders = shared_folder(spark), []
+    for delivery in (first, second):
+        folders.append(shared_folder(spark))
+        trip_files.write_trips_csv(prepare.rename_raw(delivery), folders[-1])
+        trip_files.merge_files(spark, path, folders)
+    return trip_files.read_trips(spark, path)
+
+
+def drift_by_file(spark, sf_dir):
+    """Drift counts of raw files, a folder of them for each year that trips start in."""
+    raw = prepare.rename_raw(fixtures.raw_trips(spark, sf_dir))
+    folder = shared_folder(spark)
+    year = F.when(F.col("start_date") == "n/a", "unreadable").otherwise(
+        F.substring("start_date", 7, 4))
+    trip_files.write_trips_csv(raw.withColumn("year", year), folder, by=("year",))
+    read = drift.with_file(trip_files.read_trips_csv(spark, folder))
+    year = F.regexp_extract("file", "/year=([^/]*)/", 1)
+    return drift.drift_by_file(read.withColumn("year", year), "year")
+
+
+def prepare_drift(spark, sf_dir):
+    """The drift counts of a preparation, from the pass that writes the trips."""
+    folder = shared_folder(spark)
+    trip_files.write_trips_csv(prepare.rename_raw(fixtures.raw_trips(spark, sf_dir)), folder)
+    trips, observation = drift.prepare_observed(trip_files.read_trips_csv(spark, folder))
+    trip_files.write_trips(trips, shared_folder(spark))
+    return spark.createDataFrame([observation.get], ", ".join(f"{c} bigint" for c in observation.get))
+
+
+def duration_hist_shown(spark, sf_dir):
+    hist = distributions.duration_hist(fixtures.trips(spark, sf_dir), shown=(2, 11))
+    return _rounded(_rounded(hist, 6, "bin_start", "width"), 12, "density")
+
+
 def register_views(spark, sf_dir):
     trip_files.register_views(fixtures.trips(spark, sf_dir), fixtures.stations(spark, sf_dir))
     return spark.sql(VIEW_SQL)
@@ -189,6 +229,9 @@ QUERIES = {
     "prepare_trips": prepare_trips,
     "write_trips": write_trips,
     "trips": fixtures.trips,
+    "merge_trips": merge_trips,
+    "drift_by_file": drift_by_file,
+    "prepare_drift": prepare_drift,
     "register_views": register_views,
     "bike_points": bike_points,
     "bike_points_inferred": bike_points_inferred,
@@ -211,7 +254,7 @@ QUERIES = {
     "bottom_trips": _of_trips(usage.bottom_trips),
     "trip_type_totals": _of_trips(usage.trip_type_totals),
     "trip_type_share": _of_trips(usage.trip_type_share),
-    "preview": _of_trips(lambda trips: usage.preview(trips, order=trips.columns)),
+    "preview": _of_trips(lambda trips: usage.preview(trips, order=("rental_id", "start_ts"))),
     "monthly_bikes": _of_trips(fleet.monthly_bikes),
     "daily_bikes": _of_trips(fleet.daily_bikes),
     "daily_usage": _of_trips(fleet.daily_usage),
@@ -224,6 +267,7 @@ QUERIES = {
     "bike_journey_lines": bike_journey_lines,
     "trip_count_hist": trip_count_hist,
     "duration_hist": duration_hist,
+    "duration_hist_shown": duration_hist_shown,
     "duration_density": duration_density,
     "station_totals": _of_trips(stations.station_totals),
     "station_map": station_map,

@@ -35,6 +35,9 @@ def raw_trips(spark, sf_dir):
 
     open_ends = table(spark, sf_dir, "supplier").select(
         F.floor(F.count("*") * 9 / 10).cast("bigint")).scalar()
+    # The fleet grows with the parts.
+    bikes = table(spark, sf_dir, "part").select(
+        (F.lit(97) + F.floor(F.count("*") / 20)).cast("bigint")).scalar()
     line, quantity = F.col("l_linenumber"), F.col("l_quantity")
     unreadable = (line == 6) & (quantity == 50)
     unnamed = (line == 7) & (quantity == 49)
@@ -48,7 +51,7 @@ def raw_trips(spark, sf_dir):
         .select(
             rental_id.alias("rental_id"),
             ((quantity - 1) * 180).cast("int").alias("duration"),
-            (F.col("l_partkey") % 97).cast("int").alias("bike_id"),
+            (F.col("l_partkey") % bikes).cast("int").alias("bike_id"),
             F.when(~unnamed, (F.col("l_partkey") * 7 + line) % open_ends).alias("end_station_id"),
             F.col("l_suppkey").alias("start_station_id"),
             after(F.col("l_shipdate"), offset, "MINUTE").alias("_start"),

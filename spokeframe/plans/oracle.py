@@ -3,12 +3,26 @@
 Named pieces are written as common table expressions; each query lists those it needs.
 """
 
+# What preparation turns into nulls or leaves out.
+DRIFT = """
+    count(*) AS raw_rows,
+    count(*) FILTER (try_strptime(start_date, '%d/%m/%Y %H:%M') IS NULL AND start_date IS NOT NULL)
+        AS unreadable_starts,
+    count(*) FILTER (try_strptime(end_date, '%d/%m/%Y %H:%M') IS NULL AND end_date IS NOT NULL)
+        AS unreadable_ends,
+    count(*) FILTER (start_date IS NULL) AS no_start,
+    count(*) FILTER (start_station_id IS NULL AND start_station_name IS NULL) AS short_rows,
+    count(*) FILTER (end_station_id IS NULL AND end_station_name IS NULL) AS no_end_station,
+    count(*) FILTER (duration IS NULL) AS no_duration,
+    count(*) FILTER (duration <= 0) AS no_time_passed
+"""
+
 PIECES = {
     # Two passes over lineitem and two lookups of the supplier, unlike the Spark side.
     "raw_trips": ("", """
         SELECT l_orderkey * 10 + l_linenumber AS rental_id,
                ((l_quantity - 1) * 180)::INTEGER AS duration,
-               (l_partkey % 97)::INTEGER AS bike_id,
+               (l_partkey % (SELECT 97 + count(*) // 20 FROM part))::INTEGER AS bike_id,
                CASE WHEN bad THEN 'n/a'
                     ELSE strftime(st + to_seconds(((l_quantity - 1) * 180)::INTEGER),
                                   '%d/%m/%Y %H:%M') END AS end_date,
@@ -134,11 +148,17 @@ PIECES = {
         WHERE NOT EXISTS (FROM trips t WHERE t.start_station_name = p.start_station_name
                           AND t.end_station_name = p.end_station_name)
     """),
-    "dead_pick": ("dead", """
-        SELECT * FROM dead
-        ORDER BY md5(concat_ws('|', '0', start_station_name, end_station_name)),
-                 start_station_name, end_station_name
-        LIMIT 1
+    "ranked_dead": ("listed trips", """
+        SELECT a.name AS start_station_name, b.name AS end_station_name,
+               row_number() OVER (ORDER BY a.name NULLS FIRST, a.id, b.name NULLS FIRST, b.id) - 1 AS rank
+        FROM listed a CROSS JOIN listed b
+        WHERE NOT EXISTS (FROM trips t WHERE t.start_station_name = a.name
+                          AND t.end_station_name = b.name)
+    """),
+    "dead_pick": ("ranked_dead", """
+        SELECT start_station_name, end_station_name FROM ranked_dead
+        WHERE rank = floor(('0x' || substr(md5('0'), 1, 13))::BIGINT / 16.0::DOUBLE ** 13
+                           * (SELECT count(*) FROM ranked_dead))
     """),
     "summary": ("listed counts dead", """
         SELECT stations, stations * stations AS possible_pairs, recorded_pairs,
@@ -258,6 +278,11 @@ SELECTS = {
         FROM delivered"""),
     "prepare_trips": ("trips", "SELECT * FROM trips"),
     "write_trips": ("trips", "SELECT * FROM trips"),
+    "merge_trips": ("trips", "SELECT * FROM trips"),
+    "drift_by_file": ("delivered", """
+        SELECT CASE WHEN start_date = 'n/a' THEN 'unreadable' ELSE substr(start_date, 7, 4) END AS year,
+        """ + DRIFT + " FROM delivered GROUP BY year"),
+    "prepare_drift": ("delivered", f"SELECT {DRIFT} FROM delivered"),
     "trips": ("trips", "SELECT * FROM trips"),
     "register_views": ("trips listed", """
         SELECT b.id, b.name, count(*) AS trips_started, sum(t.duration)::BIGINT AS seconds
@@ -349,6 +374,15 @@ SELECTS = {
                         AS bin
               FROM short JOIN type_bins USING (trip_type))
         GROUP BY trip_type, bins, bin, low, width, n"""),
+    "duration_hist_shown": ("short type_bins", """
+        SELECT trip_type, bins, bin, round(low + bin * width, 6) AS bin_start,
+               round(width, 6) AS width, count(*) AS trips,
+               round(count(*) / (n * width), 12) AS density
+        FROM (SELECT *, least(floor((duration - low) * bins / (high - low)), bins - 1)::INTEGER
+                        AS bin
+              FROM short JOIN type_bins USING (trip_type))
+        WHERE bin >= 2 AND bin <= 11
+        GROUP BY trip_type, bins, bin, low, width, n"""),
     "duration_density": ("short type_stats", """
         SELECT trip_type, seconds, round(seconds / 60)::INTEGER || 'min' AS label,
                round(sum(c * exp(-(((seconds - duration) / h) ** 2) / 2))
@@ -373,10 +407,13 @@ SELECTS = {
           ON p.start_station_name = c.start_station_name
              AND p.end_station_name = c.end_station_name"""),
     "dead_trips": ("dead", "SELECT * FROM dead"),
-    # 0.01 of 2^32 in hexadecimal.
-    "dead_trips_sample": ("dead", """
-        SELECT * FROM dead
-        WHERE md5(concat_ws('|', '0', start_station_name, end_station_name)) < '028f5c28'"""),
+    # One draw in every hundred ranks.
+    "dead_trips_sample": ("ranked_dead", """
+        SELECT start_station_name, end_station_name
+        FROM ranked_dead
+        JOIN (SELECT floor((i + ('0x' || substr(md5('0|' || i), 1, 8))::BIGINT / 16.0::DOUBLE ** 8)
+                           / 0.01::DOUBLE)::BIGINT AS rank
+              FROM range((SELECT count(*) // 100 + 1 FROM ranked_dead)) t(i)) USING (rank)"""),
     "pick_dead_trip": ("dead_pick", "SELECT * FROM dead_pick"),
     "dead_trips_summary": ("summary", "SELECT * FROM summary"),
     "dead_trips_message": ("summary dead_pick", """

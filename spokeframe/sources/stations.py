@@ -1,18 +1,15 @@
 """Station snapshots (JSON) and the station file (CSV)."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spokeframe.functions.grid import with_grid
+from spokeframe.functions.ordering import numbered
 from spokeframe.schemas import STATION_SNAPSHOT, STATIONS
 
 # Id prefix and property names of a snapshot.
 ID_PREFIX = "BikePoints_"
 PROPERTIES = {"num_docks": "NbDocks", "num_bikes": "NbBikes", "num_empty": "NbEmptyDocks"}
 
-# Ids per block when rows are numbered.
-BLOCK = 10_000
-
 
 def read_station_snapshot(spark, path, multi_line=True):
     """Snapshots as published: each file one array of stations.
@@ -40,27 +37,9 @@ def stations_from_snapshot(snapshot):
 
 
 def with_row_index(stations):
-    """Number the stations from 0 in id order, as column ``idx``.
-
-    Rows are numbered inside blocks of consecutive ids and shifted by the sizes of the blocks
-    before, so no task sorts the whole table. An ``int`` id allows 214,749 blocks from zero up,
-    which bounds the one window that spans them.
-    """
-    blocked = stations.withColumn("_block", F.floor(F.col("id") / BLOCK))
-    offsets = (
-        blocked.groupBy("_block").agg(F.count("*").alias("_size"))
-        .withColumn("_before", F.coalesce(
-            F.sum("_size").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)))
-        .select(F.col("_block").alias("_of"), "_before")
-    )
-    within = Window.partitionBy("_block").orderBy("id", "name")
-    return (
-        blocked.withColumn("_nth", F.row_number().over(within))
-        .join(offsets, F.col("_block").eqNullSafe(F.col("_of")))
-        .select((F.col("_before") + F.col("_nth") - 1).cast("int").alias("idx"),
-                *stations.columns)
-    )
+    """Number the stations from 0 in order of id and name, nulls first, as column ``idx``."""
+    return numbered(stations, "idx", "id", "name").select(
+        F.col("idx").cast("int").alias("idx"), *stations.columns)
 
 
 def write_stations_csv(stations, path):

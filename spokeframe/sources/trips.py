@@ -1,12 +1,20 @@
 """Raw trip files and the prepared trip table."""
 
+from pyspark.sql import functions as F
+
+from spokeframe.operators.prepare import prepare_trips
 from spokeframe.schemas import RAW_TRIPS, TRIP_COLUMN_NAMES, TRIPS
+from spokeframe.session import through_table
+from spokeframe.sources.versions import current_version, make_current, new_version
 
 MONTH_PARTITIONS = ("start_year", "start_month")
 
+# Rows of a month folder lie by bike; a row group of this size holds few bikes.
+ROW_GROUP_BYTES = 32 << 20
+
 
 def read_trips_csv(spark, path):
-    """Raw trips under ``path`` (a file, folder or glob).
+    """Raw trips under ``path`` (a file, folder or glob, or a list of them).
 
     Columns are taken by position: header text is ignored, surplus columns on the right are
     dropped, short rows and unreadable numbers become null.
@@ -14,29 +22,100 @@ def read_trips_csv(spark, path):
     return spark.read.csv(path, schema=RAW_TRIPS, header=True, mode="PERMISSIVE")
 
 
-def write_trips_csv(raw, path):
-    """Raw trips, named as after ``rename_raw``, to files ``read_trips_csv`` takes."""
+def write_trips_csv(raw, path, by=()):
+    """Raw trips, named as after ``rename_raw``, to files ``read_trips_csv`` takes.
+
+    ``by`` names further columns of which each value gets a folder of its own.
+    """
     headers = {name: header for header, name in TRIP_COLUMN_NAMES.items()}
-    raw.select(*headers).withColumnsRenamed(headers).write.csv(path, header=True)
+    raw.select(*headers, *by).withColumnsRenamed(headers).write.partitionBy(*by).csv(path, header=True)
 
 
-def write_trips(trips, path, by_month=False):
-    """Replace the prepared table at ``path``.
+def _laid_out(trips, row_group_bytes):
+    """A writer of month folders in which one bike's rows lie together.
 
-    ``by_month`` lays it out in year and month folders for readers that ask for few months. The
-    rebalance gathers a month into few files and splits a month too big for one task.
+    The rebalance gathers a month into few files and splits a month too big for one task. Sorted by
+    bike, a file's row groups hold few bikes each: their ranges and bloom filters tell which to read.
     """
-    if by_month:
-        trips.hint("rebalance", *MONTH_PARTITIONS).write.partitionBy(*MONTH_PARTITIONS).mode(
-            "overwrite"
-        ).parquet(path)
-    else:
-        trips.write.mode("overwrite").parquet(path)
+    return (
+        trips.hint("rebalance", *MONTH_PARTITIONS)
+        .sortWithinPartitions(*MONTH_PARTITIONS, "bike_id", "start_ts")
+        .write.partitionBy(*MONTH_PARTITIONS)
+        .option("parquet.block.size", str(row_group_bytes))
+        .option("parquet.bloom.filter.enabled#bike_id", "true")
+        .option("parquet.bloom.filter.expected.ndv#bike_id", "20000")
+    )
+
+
+def write_trips(trips, path, by_month=False, row_group_bytes=ROW_GROUP_BYTES):
+    """Replace the prepared table at ``path``; until all is written, readers see the old rows.
+
+    ``by_month`` lays it out in year and month folders, by bike inside them, for readers that ask for
+    few months or one bike.
+    """
+    version = new_version(path)
+    (_laid_out(trips, row_group_bytes) if by_month else trips.write).parquet(version)
+    make_current(trips.sparkSession, path, version)
 
 
 def read_trips(spark, path):
     """The prepared table, in its own column order whichever layout it was written in."""
-    return spark.read.schema(TRIPS).parquet(path).select(*TRIPS.names)
+    return spark.read.schema(TRIPS).parquet(current_version(spark, path)).select(*TRIPS.names)
+
+
+def _month():
+    """The month folder as one number, 0 where the start could not be read."""
+    return F.coalesce(F.col("start_year") * 100 + F.col("start_month"), F.lit(0))
+
+
+def merge_trips(spark, path, trips, row_group_bytes=ROW_GROUP_BYTES):
+    """Add prepared trips to a table laid out by month, those it has already left out.
+
+    Only the months of the new trips are read and written again, which finds all copies, as a copy
+    starts when its original does; other months keep their files. The months' rows are written to
+    the shared folder first, since their own folders are replaced.
+    """
+    fresh = through_table(trips.select(*TRIPS.names))
+    # At most one row for each month of the calendar.
+    months = [row[0] for row in fresh.select(_month()).distinct().collect()]
+    if not months:
+        return
+    old = read_trips(spark, path).where(_month().isin(months))
+    merged = through_table(old.union(fresh).dropDuplicates())
+    _laid_out(merged, row_group_bytes).mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").parquet(current_version(spark, path))
+
+
+def _ledger(path):
+    return f"{path}/_merged"
+
+
+def merged_files(spark, path):
+    """``file``: the raw files that the table at ``path`` has been given by ``merge_files``."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(_ledger(path))
+    if not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files):
+        return spark.createDataFrame([], "file string")
+    return spark.read.schema("file string").parquet(_ledger(path))
+
+
+def merge_files(spark, path, files):
+    """Prepare the raw files that the table has not been given yet and merge their trips.
+
+    Returns the files that were new. They are noted after their trips are in the table, so a run
+    that fails between the two merges them again, which changes nothing: copies are dropped.
+    """
+    given = spark.createDataFrame([(f,) for f in files], "file string").distinct()
+    new = [row.file for row in given.join(
+        merged_files(spark, path), "file", "left_anti").orderBy("file").collect()]
+    if not new:
+        return []
+    trips = prepare_trips(read_trips_csv(spark, new))
+    if current_version(spark, path) == path:
+        write_trips(trips, path, by_month=True)
+    else:
+        merge_trips(spark, path, trips)
+    spark.createDataFrame([(f,) for f in new], "file string").write.mode("append").parquet(_ledger(path))
+    return new
 
 
 def register_views(trips, stations):

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from spokeframe.functions import calendar, geometry, grid, random_pick
+from spokeframe.functions import calendar, geometry, grid, ordering, random_pick
 from spokeframe.operators.stations import trip_lines
 
 
@@ -96,3 +96,26 @@ def test_picks_repeat_on_any_partitioning(spark):
     assert 130 < kept.count() < 270
     assert random_pick.sample_rows(df, ("id",), 1.0).count() == 1000
     assert random_pick.sample_rows(df, ("id",), 0.0).count() == 0
+
+
+def test_numbers_and_totals_along_an_order(spark):
+    rows = [(k % 7 if k % 3 else None, f"n{k % 11}", k) for k in range(500)]
+    df = spark.createDataFrame(rows, "a int, b string, v int").repartition(5)
+    got = ordering.numbered(df, "nth", "a", "b", partitions=4).collect()
+    assert sorted(r.nth for r in got) == list(range(500))
+    order = [(r.a is not None, r.a or 0, r.b) for r in sorted(got, key=lambda r: r.nth)]
+    assert order == sorted(order)
+    total = 0
+    summed = ordering.running_total(df, "v", "before", "v", partitions=4).orderBy("v").collect()
+    for r in summed:
+        assert r.before == total
+        total += r.v
+    assert ordering.numbered(df.where("false"), "nth", "a").collect() == []
+
+
+def test_rows_equal_in_the_order_are_dealt_over_partitions(spark):
+    many = spark.range(40_000).select(F.lit(None).cast("int").alias("id"), F.lit("x").alias("name"))
+    few = spark.range(800).select(F.lit(5).alias("id"), F.lit("y").alias("name"))
+    ranges = ordering.in_ranges(many.union(few), "id", "name", partitions=8)
+    sizes = sorted(r["count"] for r in ranges.groupBy("_part").count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]

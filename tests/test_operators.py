@@ -187,7 +187,22 @@ def test_pairs_against_brute_force(spark, sample, monkeypatch, side):
     assert summary.unrecorded_estimate == len(names) ** 2 - len(routes)
     assert summary.dead_pairs == sum(lonely.values())
     assert counted(dead.dead_trips_sample(trips, points, 1.0)) == lonely
-    assert tuple(dead.pick_dead_trip(trips, points).first()) in lonely
+    picked = {tuple(dead.pick_dead_trip(trips, points, seed).first()) for seed in range(6)}
+    assert picked <= set(lonely) and len(picked) > 2
+    few = counted(dead.dead_trips_sample(trips, points, 0.1, 3))
+    assert few <= lonely and abs(sum(few.values()) - 0.1 * sum(lonely.values())) <= 1
+    uneven = counted(dead.dead_trips_sample(trips, points, 0.7))
+    assert uneven <= lonely and sum(uneven.values()) > 0.5 * sum(lonely.values())
+    assert dead.dead_trips_sample(trips, points, 0.0).collect() == []
+
+
+def test_nothing_to_pick_where_all_pairs_were_ridden(spark):
+    trips = make_trips(spark, [(1, a, b, 1, 2016, 1, 1) for a in ("s1", "s2") for b in ("s1", "s2")])
+    points = make_stations(spark, [(1, "s1"), (2, "s2")])
+    assert dead.pick_dead_trip(trips, points).collect() == []
+    assert dead.dead_trips_sample(trips, points, 1.0).collect() == []
+    three = make_stations(spark, [(1, "s1"), (2, "s2"), (3, "s0")])
+    assert len(dead.dead_trips_sample(trips, three, 1.0).collect()) == 5
 
 
 def test_no_stations_no_pairs(spark, sample):
@@ -195,6 +210,8 @@ def test_no_stations_no_pairs(spark, sample):
     none = make_stations(spark, [(1, "x")]).where("id = 2")
     assert dead.possible_trips(none).count() == 0
     assert dead.dead_trips_summary(trips, none).first().dead_pairs == 0
+    assert dead.pick_dead_trip(trips, none).collect() == []
+    assert dead.dead_trips_sample(trips, none, 0.5).collect() == []
 
 
 def test_message(spark):

@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-from spokeframe.operators import fleet
+from spokeframe.operators import drift, fleet
 from spokeframe.plans import fixtures
 from spokeframe.plans.catalog import QUERIES
 from spokeframe.session import choose_root, shared_folder
+from spokeframe.sources.trips import read_trips_csv
 
 
 def plan_of(df):
@@ -60,6 +61,9 @@ def test_joins_without_broadcasts_compare_keys(spark, sf_dir, name):
     if name == "trip_lines":
         # The pairs' blocks and the anti join are the only joins; coordinates come along.
         assert len(re.findall(r"(?:SortMerge|ShuffledHash|BroadcastHash)Join", plan)) == 2
+
+
+def test_the_duration_limit_reaches_the_scan(spark, sf_dir):
     assert "LessThan(duration,7200)" in plan_of(QUERIES["duration_hist"](spark, sf_dir))
 
 
@@ -83,6 +87,26 @@ def test_ranges_do_not_scan_the_trips_again(spark, sf_dir, name):
     assert re.search(r"ReusedExchange \[(bike_id|start_station)", plan)
 
 
+@pytest.mark.parametrize("name", ["dead_trips_sample", "pick_dead_trip", "dead_trips_message"])
+def test_picks_of_never_ridden_pairs_list_no_pairs(spark, sf_dir, name):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for node in ("Anti", "NestedLoop", "Cartesian", "row#"):
+        assert node not in plan
+
+
+def test_drift_is_counted_in_the_pass_that_prepares(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Rental Id\n1\n")
+    raw = read_trips_csv(spark, str(tmp_path))
+    plan = plan_of(drift.prepare_observed(raw)[0])
+    assert "CollectMetrics" in plan and plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_dead_trips_is_an_anti_join(spark, sf_dir):
     assert "LeftAnti" in plan_of(QUERIES["dead_trips"](spark, sf_dir))
 

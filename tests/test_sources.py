@@ -1,7 +1,13 @@
 """Golden rows through the readers and writers."""
 
+import glob
+import os
+
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
+from spokeframe.operators import drift
 from spokeframe.operators.prepare import prepare_trips
 from spokeframe.schemas import STATIONS, TRIPS
 from spokeframe.sources import listing, stations, trips, weather
@@ -54,6 +60,85 @@ def test_prepared_table_is_replaced_in_both_layouts(spark, tmp_path, folder):
         assert sorted(map(str, back.collect())) == expected
 
 
+@pytest.mark.parametrize("by_month", [False, True])
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path, folder, by_month):
+    df = drifting_trips(spark, tmp_path)
+    trips.write_trips(df, folder, by_month=by_month)
+    expected = sorted(map(str, trips.read_trips(spark, folder).collect()))
+    failing = df.repartition(4).withColumn("bike_id", F.when(
+        F.col("rental_id") == 8, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("bike_id")))
+    with pytest.raises(Exception, match="lost"):
+        trips.write_trips(failing, folder, by_month=by_month)
+    assert sorted(map(str, trips.read_trips(spark, folder).collect())) == expected
+    # The next write goes through, and what the failed one left is gone.
+    trips.write_trips(df.limit(1), folder, by_month=by_month)
+    assert trips.read_trips(spark, folder).count() == 1
+    assert len([p for p in os.listdir(folder) if p.startswith("v-")]) == 2
+
+
+def test_a_table_written_plainly_is_read(spark, tmp_path, folder):
+    df = drifting_trips(spark, tmp_path)
+    df.write.parquet(folder)
+    assert trips.read_trips(spark, folder).count() == df.count()
+
+
+def trip_line(i, bike, day, month=1):
+    return f"{i},60,{bike},{day:02d}/{month:02d}/2016 00:04,5,A,{day:02d}/{month:02d}/2016 00:00,6,B\n"
+
+
+def test_two_deliveries_equal_one(spark, tmp_path, folder):
+    header = OLD_FILE.split("\n")[0] + "\n"
+    one = header + trip_line(1, 7, 1) + trip_line(2, 7, 2, 3) + "3,60,7,bad,5,A,n/a,6,B\n"
+    two = header + trip_line(1, 7, 1) + trip_line(4, 8, 9) + "3,60,7,bad,5,A,n/a,6,B\n" * 2
+    (tmp_path / "one.csv").write_text(one)
+    (tmp_path / "two.csv").write_text(two)
+    files = [f"{tmp_path}/{n}.csv" for n in ("one", "two")]
+    assert trips.merge_files(spark, folder, files[:1]) == files[:1]
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(
+        f"{trips.current_version(spark, folder)}/**/*.parquet", recursive=True)}
+    assert trips.merge_files(spark, folder, files) == files[1:]
+    assert trips.merge_files(spark, folder, files) == []
+    want = prepare_trips(trips.read_trips_csv(spark, files))
+    assert sorted(map(str, trips.read_trips(spark, folder).collect())) == sorted(
+        map(str, want.collect()))
+    after = {f: os.stat(f).st_mtime_ns for f in before if os.path.exists(f)}
+    # March is not in the second delivery; its file is as it was. The others are new.
+    assert list(after) == [f for f in before if "start_month=3" in f] and after.items() <= before.items()
+
+
+def test_one_bike_is_in_few_row_groups(spark, folder):
+    day = F.make_timestamp_ntz(F.lit(2016), F.lit(1), 1 + F.col("id") % 28, F.lit(5), F.lit(0), F.lit(0))
+    made = spark.range(60_000).select("id", (F.xxhash64("id") % 500).alias("bike"), day.alias("ts"))
+    values = {"rental_id": F.col("id"), "bike_id": F.abs("bike"), "start_ts": F.col("ts"),
+              "start_year": F.lit(2016), "start_month": F.lit(1)}
+    table = made.select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in TRIPS))
+    trips.write_trips(table, folder, by_month=True, row_group_bytes=64 << 10)
+    groups = holding = 0
+    for path in glob.glob(f"{trips.current_version(spark, folder)}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(path).metadata
+        at = [meta.schema.column(k).name for k in range(meta.num_columns)].index("bike_id")
+        for g in range(meta.num_row_groups):
+            column = meta.row_group(g).column(at)
+            groups += 1
+            holding += column.statistics.min <= 77 <= column.statistics.max
+    assert groups >= 5 and holding <= 2
+    assert trips.read_trips(spark, folder).where("bike_id = 77").count() == table.where(
+        "bike_id = 77").count()
+
+
+def test_drift_counts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(OLD_FILE)
+    (tmp_path / "b.csv").write_text(NEW_FILE)
+    raw = trips.read_trips_csv(spark, f"{tmp_path}/*.csv")
+    got = {r.file.rsplit("/")[-1]: r for r in drift.drift_by_file(drift.with_file(raw)).collect()}
+    assert tuple(got["a.csv"])[1:] == (5, 1, 1, 0, 0, 0, 1, 1)
+    assert tuple(got["b.csv"])[1:] == (2, 0, 0, 1, 1, 1, 0, 0)
+    prepared, observation = drift.prepare_observed(raw)
+    assert sorted(map(str, prepared.collect())) == sorted(
+        map(str, prepare_trips(raw).collect()))
+    assert list(observation.get.values()) == [7, 1, 1, 1, 1, 1, 1, 1]
+
+
 def test_month_layout_prunes_folders(spark, sf_dir, folder):
     from spokeframe.plans import fixtures
     trips.write_trips(fixtures.trips(spark, sf_dir), folder, by_month=True)
@@ -102,8 +187,7 @@ def test_header_text_of_the_station_file_is_ignored(spark, tmp_path):
     assert (row.idx, row.id, row.num_docks) == (0, 7, 20)
 
 
-def test_row_numbers_over_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(stations, "BLOCK", 7)
+def test_row_numbers_over_many_partitions(spark):
     df = spark.range(5, 400, 3).select(F.col("id").cast("int").alias("id"),
                                        F.lit("n").alias("name"))
     rows = stations.with_row_index(df).orderBy("id").collect()
