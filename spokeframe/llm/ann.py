@@ -7,8 +7,12 @@
   centroid, and also to those of others about as near (``REPLICATE``): vectors on a boundary are in
   several lists.
 * A query finds its nearest centroids by best-first search in a graph of centroids held in memory, and
-  reads all lists whose distance is within a ratio (``PRUNE``) of the nearest one's. Where those the
+  selects all lists whose distance is within a ratio (``PRUNE``) of the nearest one's. Where those the
   search kept end within the ratio, all centroids are measured, so the ratio alone decides.
+* The ``FIRST`` nearest lists are read first. The worst of a query's nearest so far then bounds what
+  the others can add: a selected list is read only if a vector could lie as near, its radius (the
+  distance of its farthest member from the centroid) taken into account, and it gives only vectors
+  that do. So what a query gathers does not grow with the number of its lists.
 * Queries and lists meet by a join on the list. A list too large for a task is cut into blocks, all of
   which the queries visit. The candidates' cosines are computed in double precision from the vectors
   as given.
@@ -17,8 +21,9 @@ The number of lists follows the number of classes up to ``MAX_LISTS``, so centro
 bounded (16 MB at 256 dimensions); beyond that the lists are longer and are cut into more blocks.
 
 Defined results: a vector that is null, zero, or has a null or non-finite component, or whose length
-is not that of most vectors, takes no part. Rows equal in id and vector count once. Ties go to the
-smaller id.
+is not that of most vectors, takes no part. Rows equal in id and vector count once; an id with
+several vectors is answered for each of them. Ties go to the smaller id. Without vectors that take
+part, as in an empty table, there are no answers. Other columns of the table are not read.
 """
 
 import heapq
@@ -38,7 +43,10 @@ PER_LIST, MAX_LISTS, SAMPLE_PER_LIST = 128, 1 << 14, 16
 
 # Distance ratios: lists a vector is written to (at most REPLICAS), and lists a query reads.
 REPLICATE, REPLICAS = 1.08, 4
-PRUNE, MIN_LISTS = 1.3, 16
+PRUNE, FIRST = 1.3, 4
+
+# Cosines nearer to each other than this many decimals are ties until the last ranking.
+DECIMALS = 12
 
 # Neighbours of a centroid in the graph, and candidates kept in a search.
 DEGREE, BEAM = 24, 64
@@ -140,19 +148,23 @@ class Lists:
         order = np.argsort(-cosines, kind="stable")
         return order, cosines[order]
 
-    def near(self, vector, ratio, least, most=None):
-        """The lists within ``ratio`` of the nearest one's distance, at least ``least`` and, if given,
-        at most ``most``."""
+    def near(self, vector, ratio, most=None):
+        """The lists within ``ratio`` of the nearest one's distance, at most ``most`` if given, and
+        their distances."""
+        def distances(cosines):
+            return np.sqrt(np.maximum(2 - 2 * cosines, 0))
+
         def within(cosines):
-            distance = np.sqrt(np.maximum(2 - 2 * cosines, 0))
+            distance = distances(cosines)
             return int((distance <= distance[0] * ratio + 1e-6).sum())
 
-        nodes, cosines = self.search(vector, max(most or least, BEAM))
+        nodes, cosines = self.search(vector, max(most or 0, BEAM))
         wanted = within(cosines)
         if wanted == len(nodes) < len(self.centroids) and most is None:
             nodes, cosines = self.all(vector)
             wanted = within(cosines)
-        return nodes[:min(max(wanted, least), most or len(nodes))]
+        n = min(wanted, most or wanted)
+        return nodes[:n], distances(cosines[:n])
 
 
 def _array(column):
@@ -206,41 +218,63 @@ def fit(classes, n, per_list=PER_LIST, max_lists=MAX_LISTS):
     return _array(found["c"]) if len(found) else np.zeros((0, 1))
 
 
-def _assigned(shared, ratio, least, most=None):
+def _assigned(shared, ratio, most=None):
+    """``key, list, nth, far``: the lists of each vector, nearest first, with their distance."""
     def run(frames):
         lists = shared.value
         for frame in frames:
             if not len(frame):
                 continue
-            chosen = [lists.near(v, ratio, least, most) for v in unit(_array(frame["v"]))]
-            many = np.array([len(c) for c in chosen])
+            chosen = [lists.near(v, ratio, most) for v in unit(_array(frame["v"]))]
+            many = np.array([len(c) for c, _ in chosen])
             yield pd.DataFrame({
-                "key": np.repeat(frame["key"].to_numpy(), many), "list": np.concatenate(chosen)})
+                "key": np.repeat(frame["key"].to_numpy(), many),
+                "list": np.concatenate([c for c, _ in chosen]),
+                "nth": np.concatenate([np.arange(n) for n in many]),
+                "far": np.concatenate([f for _, f in chosen]).astype(np.float64)})
 
     return run
 
 
+_LISTED = "key bigint, list bigint, nth bigint, far double"
+
+
 def _meet(keep):
-    """Of a block of queries and one of classes, each query's ``keep`` nearest classes."""
+    """Of a block of queries and one of classes, each query's ``keep`` nearest classes, those below
+    its ``floor`` left out."""
     def run(queries, classes):
         q, x = _array(queries["v"]), _array(classes["v"])
         cosines = (q @ x.T) / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(x, axis=1)[None, :]
+        cosines = np.round(cosines, DECIMALS)
         least = classes["least_id"].to_numpy()
         by_id = np.argsort(least, kind="stable")
         best = by_id[np.argsort(-cosines[:, by_id], axis=1, kind="stable")[:, :keep]]
+        score = np.take_along_axis(cosines, best, axis=1)
+        row, column = np.nonzero(score >= queries["floor"].to_numpy()[:, None])
         return pd.DataFrame({
-            "query": np.repeat(queries["key"].to_numpy(), best.shape[1]),
-            "key": classes["key"].to_numpy()[best.ravel()],
+            "query": queries["key"].to_numpy()[row],
+            "key": classes["key"].to_numpy()[best[row, column]],
+            "near": score[row, column], "least_id": least[best[row, column]],
         })
 
     return run
 
 
-def search(vectors, is_query, nearest=NEAREST, prune=PRUNE, min_lists=MIN_LISTS, per_list=PER_LIST,
-           max_lists=MAX_LISTS, vec_id="vec_id", embedding="embedding"):
+def _nearest(met, keep):
+    """Of ``query, key, near, least_id`` the ``keep`` nearest of each query, each class once."""
+    once = met.groupBy("query", "key").agg(F.max("near").alias("near"),
+                                           F.min("least_id").alias("least_id"))
+    order = Window.partitionBy("query").orderBy(F.desc("near"), "least_id")
+    return once.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= keep)
+
+
+def search(vectors, is_query, nearest=NEAREST, prune=PRUNE, first=FIRST, per_list=PER_LIST,
+           max_lists=MAX_LISTS, replicate=REPLICATE, replicas=REPLICAS, vec_id="vec_id",
+           embedding="embedding"):
     """``query_id, rank, vec_id, score``: the nearest found of every row that ``is_query`` holds for.
 
-    ``is_query`` is a condition on ``vec_id``.
+    ``is_query`` is a condition on ``vec_id``. ``replicas`` bounds the lists that one vector is written
+    to, ``prune`` the lists that are read for a query.
     """
     spark = vectors.sparkSession
     rows = through_table(usable(vectors, vec_id, embedding))
@@ -255,29 +289,46 @@ def search(vectors, is_query, nearest=NEAREST, prune=PRUNE, min_lists=MIN_LISTS,
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     shared = spark.sparkContext.broadcast(Lists(centroids))
     postings = through_table(classes.select("key", "v").mapInPandas(
-        _assigned(shared, REPLICATE, 1, REPLICAS), "key bigint, list bigint"))
+        _assigned(shared, replicate, replicas), _LISTED))
     queries = classes.join(asked.select(F.col("query").alias("key")).distinct(), "key", "left_semi")
-    visits = through_table(queries.select("key", "v").mapInPandas(
-        _assigned(shared, prune, min_lists), "key bigint, list bigint"))
-
-    # Each side is dealt to blocks of its own and copied to all blocks of the other.
-    own = postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("own"))
-    other = visits.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("other"))
-    cuts = through_table(own.join(other, "list"))
-
-    def dealt(table, mine, theirs, columns):
-        placed = table.join(cuts, "list").join(classes.select("key", *columns), "key")
-        return placed.select(
-            "list", F.pmod(F.xxhash64("key"), F.col(mine)).cast("int").alias(mine + "_block"),
-            F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)).alias(theirs + "_block"),
-            # Columns of the side's own, as both sides come from one table.
-            *(F.col(c).alias(c) for c in ["key", *columns]))
-
-    left = dealt(visits, "other", "own", ["v"])
-    right = dealt(postings, "own", "other", ["v", "least_id"])
-    by = ["list", "own_block", "other_block"]
-    met = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        _meet(keep), "query bigint, key bigint").distinct()
+    visits = through_table(queries.select("key", "v").mapInPandas(_assigned(shared, prune), _LISTED))
+    radius = through_table(postings.groupBy("list").agg(
+        F.max("far").alias("radius"), F.count("*").alias("members")))
+
+    def read(visits):
+        """What the lists give to the queries that visit them (``key, list, floor``)."""
+        # Each side is dealt to blocks of its own and copied to all blocks of the other.
+        visitors = visits.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("other"))
+        cuts = through_table(radius.join(visitors, "list").select(
+            "list", F.ceil(F.col("members") / BLOCK).cast("int").alias("own"), "other"))
+
+        def dealt(table, mine, theirs, columns, more=()):
+            placed = table.join(cuts, "list").join(classes.select("key", *columns), "key")
+            return placed.select(
+                "list", F.pmod(F.xxhash64("key"), F.col(mine)).cast("int").alias(mine + "_block"),
+                F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)).alias(theirs + "_block"),
+                # Columns of the side's own, as both sides come from one table.
+                *(F.col(c).alias(c) for c in ["key", *columns, *more]))
+
+        left = dealt(visits, "other", "own", ["v"], ["floor"])
+        right = dealt(postings, "own", "other", ["v", "least_id"])
+        by = ["list", "own_block", "other_block"]
+        return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
+            _meet(keep), "query bigint, key bigint, near double, least_id bigint")
+
+    none = F.lit(-2.0)
+    at_first = through_table(_nearest(
+        read(visits.where(F.col("nth") < first).withColumn("floor", none)), keep).drop("nth"))
+    # Fewer than ``keep`` found leave the floor open.
+    floors = at_first.groupBy("query").agg(F.min("near").alias("least"), F.count("*").alias("n"))
+    floors = floors.select(F.col("query").alias("key"), F.when(
+        F.col("n") >= keep, F.col("least")).otherwise(none).alias("floor"))
+    reach = F.sqrt(F.greatest(F.lit(2.0) - 2 * F.col("floor"), F.lit(0.0)))
+    later = visits.where(F.col("nth") >= first).join(floors, "key", "left").withColumn(
+        "floor", F.coalesce("floor", none)).join(radius, "list").where(
+        F.col("far") <= reach + F.col("radius") + 1e-5)
+    met = _nearest(at_first.unionByName(read(through_table(later.select("key", "list", "floor")))),
+                   keep).select("query", "key")
     x, y = F.col("v"), F.col("w")
 
     def dot(a, b):
