@@ -10,7 +10,9 @@ doubled and ``<|`` becomes ``<\\|``, so no text can forge a mark and the texts r
 The loss mask covers the contents of assistant turns.
 
 Defined results: turns go by number, then role, then text, nulls first; a null role or text is
-empty; a null conversation id is a conversation of its own. An empty table gives no rows.
+empty; a null conversation id is a conversation of its own. A part of a kind that is not known is a
+document, a part without a kind is text, one without a body has an empty one. Equal rows are turns
+one by one. An empty table gives no rows; other columns of the table are not read.
 """
 
 from pyspark.sql import functions as F
@@ -57,6 +59,14 @@ def parts_of_text(text):
         f"array<{_PART}>")
 
 
+def known_parts(parts):
+    """Parts as the visitor takes them: a missing kind is text, an unknown one a document."""
+    return F.transform(parts, lambda p: F.struct(
+        F.when(p["kind"].isNull() | (p["kind"] == "text"), "text")
+        .when(p["kind"].isin(*EXPANDED), p["kind"]).otherwise("document").alias("kind"),
+        F.coalesce(p["body"], F.lit("")).alias("body")))
+
+
 def visit(parts, expanded=None):
     """Content text, and the attachments in order, of an array of parts.
 
@@ -64,19 +74,25 @@ def visit(parts, expanded=None):
     """
     sizes = expanded or EXPANDED
     attached = F.filter(parts, lambda p: p["kind"] != "text")
-    placed = F.aggregate(
-        parts, F.struct(F.lit(0).alias("n"), F.lit("").alias("content")),
+    def placed_after(s, kind):
+        """The content so far with what text is pending, and a placeholder."""
+        return F.concat(s["content"], escape(s["pending"]), F.lit("<|"), kind, F.lit(":"),
+                        s["n"].cast("string"), F.lit("|>"))
+
+    # Texts that follow each other are escaped as one, so that no two make a mark together.
+    seen = F.aggregate(
+        parts, F.struct(F.lit(0).alias("n"), F.lit("").alias("content"), F.lit("").alias("pending")),
         lambda s, p: F.when(p["kind"] == "text", F.struct(
-            s["n"].alias("n"), F.concat(s["content"], escape(p["body"])).alias("content"))
+            s["n"].alias("n"), s["content"].alias("content"),
+            F.concat(s["pending"], p["body"]).alias("pending"))
         ).otherwise(F.struct(
-            (s["n"] + 1).alias("n"),
-            F.concat(s["content"], F.lit("<|"), p["kind"], F.lit(":"), s["n"].cast("string"),
-                     F.lit("|>")).alias("content"))),
-    )["content"]
+            (s["n"] + 1).alias("n"), placed_after(s, p["kind"]).alias("content"),
+            F.lit("").alias("pending"))),
+        lambda s: F.concat(s["content"], escape(s["pending"])))
     tokens = F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair))
     attachments = F.transform(attached, lambda p: F.struct(
         p["kind"].alias("kind"), p["body"].alias("ref"), tokens[p["kind"]].alias("tokens")))
-    return F.struct(placed.alias("content"), attachments.alias("attachments"))
+    return F.struct(seen.alias("content"), attachments.alias("attachments"))
 
 
 def format_chats(turns, expanded=None, conv_id="conv_id", turn="turn", role="role", text="text"):
@@ -87,7 +103,7 @@ def format_chats(turns, expanded=None, conv_id="conv_id", turn="turn", role="rol
     """
     plain = only(turns, conv_id=conv_id, turn=turn, role=role, text=text)
     if dict(plain.dtypes)["text"].startswith("array"):
-        parts = F.coalesce("text", F.array().cast(f"array<{_PART}>"))
+        parts = known_parts(F.coalesce("text", F.array().cast(f"array<{_PART}>")))
     else:
         parts = parts_of_text(F.coalesce(F.col("text").cast("string"), F.lit("")))
     row = F.struct("turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),

@@ -11,7 +11,8 @@ shuffled, so a source with most of the rows costs no more than the others.
 
 Defined results: a null text has size 0; null is a source of its own, last in order. Rows that are
 equal in id and text are interchangeable, and other ties go by id and text hash. Sizes of 0 take
-nothing. An empty table gives an empty mix.
+nothing. An empty table gives an empty mix. Texts of any length are read whole; other columns of the
+table are passed through by ``mixed_documents`` and not read otherwise.
 """
 
 from pyspark.sql import Window
@@ -164,15 +165,20 @@ def mix(docs, weights=WEIGHTS, max_epochs=MAX_EPOCHS, seed=0, quality=quality_we
 def mixed_documents(docs, weights=WEIGHTS, max_epochs=MAX_EPOCHS, seed=0, quality=quality_weight):
     """The documents themselves, each as often as the mix takes it, with their own columns.
 
-    Documents are matched to their copies by id and digest; rows equal in both are one choice.
+    Documents are matched to their copies by id, source and digest. Rows equal in all three, of which
+    the mix may take some, are interchangeable: one of them stands for all that is taken of them.
     """
-    chosen = mix(docs, weights, max_epochs, seed, quality).where("copies > 0").select(
-        F.col("doc_id").alias("__mix_id"), F.col("tie").alias("__mix_tie"),
-        F.col("copies").alias("__mix_copies")).distinct()
+    chosen = mix(docs, weights, max_epochs, seed, quality).groupBy("doc_id", "source", "tie").agg(
+        F.sum("copies").alias("__mix_copies"), F.count("*").alias("__mix_rows")).where(
+        "__mix_copies > 0").withColumnsRenamed(
+        {"doc_id": "__mix_id", "source": "__mix_source", "tie": "__mix_tie"})
     digest = F.md5(F.concat(
         F.lit(f"{seed}|"), F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.lit("|"),
         F.coalesce(docs["text"], F.lit(""))))
     found = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["__mix_id"])
+                      & docs["source"].eqNullSafe(chosen["__mix_source"])
                       & (digest == chosen["__mix_tie"]))
-    return found.withColumn("__mix_nth", F.explode(F.sequence(
-        F.lit(1).cast("bigint"), "__mix_copies"))).select(*(docs[c] for c in docs.columns))
+    once = found.where("__mix_rows = 1")
+    equal = found.where("__mix_rows > 1").dropDuplicates(["__mix_id", "__mix_source", "__mix_tie"])
+    return once.unionByName(equal).withColumn("__mix_nth", F.explode(F.sequence(
+        F.lit(1).cast("bigint"), "__mix_copies"))).select(*docs.columns)

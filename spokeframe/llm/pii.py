@@ -27,7 +27,7 @@ are not read. Spans of a long text are numbered block by block, in time nearly l
 
 from pyspark.sql import functions as F
 
-from spokeframe.llm.columns import let, only, text_or_empty
+from spokeframe.llm.columns import let, matches, no_matches, only, text_or_empty
 from spokeframe.session import through_table
 
 # The four base patterns. Possessive repeats and the look-behinds change no match; they
@@ -53,61 +53,9 @@ CONTEXT = 120
 SUPPORT = 2
 REMOVED, GENERALISED = 0.95, 0.8
 
-# Matches that are numbered together.
-BLOCK = 256
-
 _SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
 
-def matches(text, pattern):
-    """Leftmost matches, not overlapping: ``start, end, said``, with the gaps around each.
-
-    The pieces between matches and the matches alternate, so their lengths add up to positions. They
-    are added up inside blocks, and the blocks' sums over the blocks, so that no long array grows by
-    one element at a time.
-    """
-    def numbered(steps):
-        def inside(block):
-            def step(state, s):
-                start = state["at"] + F.length(s["before"])
-                end = start + F.length(s["said"])
-                found = F.struct(start.alias("start"), end.alias("end"), s["said"].alias("said"),
-                                 s["before"].alias("before"), s["after"].alias("after"))
-                return F.struct(end.alias("at"),
-                                F.concat(state["found"], F.array(found)).alias("found"))
-
-            return F.aggregate(block, F.struct(F.lit(0).alias("at"), _none().alias("found")), step)
-
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.ceil(F.size(steps) / BLOCK).cast("int") - 1),
-            lambda i: inside(F.slice(steps, i * BLOCK + 1, F.lit(BLOCK))))
-
-        def joined(state, block):
-            moved = F.transform(block["found"], lambda s: s.withField(
-                "start", s["start"] + state["at"]).withField("end", s["end"] + state["at"]))
-            return F.struct((state["at"] + block["at"]).alias("at"),
-                            F.concat(state["found"], F.array(moved)).alias("found"))
-
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_MATCH}>>").alias("found"))
-        return F.flatten(F.aggregate(blocks, begin, joined)["found"])
-
-    def steps(both):
-        return F.transform(both["said"], lambda s, i: F.struct(
-            s.alias("said"), F.get(both["gaps"], i).alias("before"),
-            F.get(both["gaps"], i + 1).alias("after")))
-
-    both = F.struct(F.split(text, pattern, -1).alias("gaps"),
-                    F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("said"))
-    return F.when(text.rlike(pattern), let(let(both, steps), numbered)).otherwise(_none())
-
-
-_MATCH = "struct<start:int,end:int,said:string,before:string,after:string>"
-
-
-def _none():
-    return F.array().cast(f"array<{_MATCH}>")
-
-
 def _digits(said):
     return F.regexp_replace(said, "[^0-9]", "")
 
@@ -128,7 +76,7 @@ def _between(n, bounds):
 
 
 def _email(text):
-    return F.when(F.contains(text, F.lit("@")), matches(text, EMAIL)).otherwise(_none())
+    return F.when(F.contains(text, F.lit("@")), matches(text, EMAIL)).otherwise(no_matches())
 
 
 def _ip(text):
@@ -138,13 +86,13 @@ def _ip(text):
 
 def _card(text):
     enough = text.rlike(rf"[0-9](?:[\x20-]?[0-9]){{{CARD_DIGITS[0] - 1}}}")
-    found = F.when(enough, matches(text, CARD)).otherwise(_none())
+    found = F.when(enough, matches(text, CARD)).otherwise(no_matches())
     return F.filter(found, lambda m: let(_digits(m["said"]), lambda d: F.when(
         _between(F.length(d), CARD_DIGITS), passes_luhn(d)).otherwise(F.lit(False))))
 
 
 def _phone(text):
-    found = F.when(F.contains(text, F.lit("+")), matches(text, PHONE)).otherwise(_none())
+    found = F.when(F.contains(text, F.lit("+")), matches(text, PHONE)).otherwise(no_matches())
     return F.filter(found, lambda m: _between(F.length(_digits(m["said"])), PHONE_DIGITS))
 
 

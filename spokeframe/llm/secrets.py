@@ -2,8 +2,9 @@
 
 Three fixed patterns give the base spans. A fourth, broad one finds other strings that could be
 credentials. The values of all are hashed and counted over the whole table by distinct documents
-(repositories) and sources (owners): a value that several owners have is a widely copied example;
-one that a single owner has looks live. Broad strings become spans only where they look live.
+(repositories) and sources (owners): a value that several owners or many repositories have is a widely
+copied example; one that few repositories of a single owner have looks live. Broad strings become
+spans only where they look live.
 
 Counts combine before the shuffle, and only values and places are shuffled, never texts.
 
@@ -13,7 +14,7 @@ one document with the same spans. Spans count code points from 0, end exclusive.
 
 from pyspark.sql import functions as F
 
-from spokeframe.llm.columns import only, text_or_empty
+from spokeframe.llm.columns import matches, only, text_or_empty
 from spokeframe.session import through_table
 
 # The three base patterns and the least length of what they must find.
@@ -26,6 +27,9 @@ HEX = r"[0-9a-f]{24,}"
 # Strings of twenty or more with a digit and a letter among them.
 BROAD = r"[A-Za-z0-9+/_-]{20,}"
 
+# The most owners, and documents, that a value which looks live has.
+MAX_OWNERS, MAX_REPOSITORIES = 1, 4
+
 KINDS = ("assign", "access", "hex", "owned")
 
 _SPAN = "struct<start:int,kind:int,end:int,value:bigint>"
@@ -38,29 +42,15 @@ def _no_spans():
 def find(text, kind, pattern, group=0, least=0):
     """Spans of a pattern: leftmost, not overlapping, in order.
 
-    The pieces between matches and the matches alternate, so their lengths add up to positions.
     ``value`` hashes the group, which must have ``least`` characters for the match to count.
     """
-    def spans(text):
-        gaps = F.split(text, pattern, -1)
-        whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        steps = F.arrays_zip(whole.alias("whole"), values.alias("value"),
-                             F.slice(gaps, F.lit(1), F.size(whole)).alias("gap"))
-
-        def step(state, s):
-            start = state["at"] + F.length(s["gap"])
-            end = start + F.length(s["whole"])
-            span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                            F.xxhash64(s["value"]).alias("value"))
-            return F.struct(end.alias("at"), F.when(
-                F.length(s["value"]) >= least, F.concat(state["found"], F.array(span)))
-                .otherwise(state["found"]).alias("found"))
-
-        begin = F.struct(F.lit(0).alias("at"), _no_spans().alias("found"))
-        return F.aggregate(steps, begin, step)["found"]
+    def value(said):
+        return F.regexp_extract(said, pattern, group) if group else said
 
-    return F.when(text.rlike(pattern), spans(text)).otherwise(_no_spans())
+    found = F.filter(matches(text, pattern), lambda m: F.length(value(m["said"])) >= least)
+    return F.transform(found, lambda m: F.struct(
+        m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"),
+        F.xxhash64(value(m["said"])).alias("value")))
 
 
 def extract(docs, doc_id="doc_id", source="source", text="text"):
@@ -90,15 +80,18 @@ def ownership(places):
         F.countDistinct(F.struct("owner")).alias("owners"))
 
 
-def scan(docs, max_owners=1, doc_id="doc_id", source="source", text="text"):
+def scan(docs, max_owners=MAX_OWNERS, max_repositories=MAX_REPOSITORIES, doc_id="doc_id",
+         source="source", text="text"):
     """One row per document: its base spans, and all spans with how each value is held.
 
     ``spans`` holds ``start, kind, end, value, live``: the base spans whether live or not, and of
-    the broad ones those that at most ``max_owners`` owners have.
+    the broad ones those that at most ``max_owners`` owners and ``max_repositories`` documents have.
     """
     found = through_table(extract(docs, doc_id, source, text))
     places = found.select("doc_id", "owner", "tie", F.inline(F.concat("base", "broad")))
-    held = ownership(places).select("value", (F.col("owners") <= max_owners).alias("live"))
+    held = ownership(places).select(
+        "value", ((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
+        .alias("live"))
     span = F.struct("start", "kind", "end", "value", "live")
     judged = (
         places.join(held, "value").where("kind < 3 OR live")

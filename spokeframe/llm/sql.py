@@ -1,42 +1,45 @@
 """DuckDB SQL with the meaning of the queries that SQL can express."""
 
+# A line with words goes if it is in a run of lines with ten words or more that stands earlier. Each of
+# the lines has a word, so of a longer run every line is in a run of at most ten lines with ten words.
 LINE_DEDUP = r"""
-WITH split AS (
-  SELECT doc_id, string_split(text, chr(10)) AS ts FROM documents
-), lines AS (
-  SELECT doc_id, unnest(range(len(ts))) AS line, unnest(ts) AS t FROM split
-), worded AS (
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(ts))) AS line, unnest(ts) AS t
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ts FROM documents)
+), counted AS (
   SELECT *, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w FROM lines
-), placed AS (
-  SELECT doc_id, line, t, w,
-         row_number() OVER (PARTITION BY doc_id ORDER BY line) AS p,
+), worded AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS p,
+         lead(line) OVER (PARTITION BY doc_id ORDER BY line) AS next_line,
          sum(w) OVER (PARTITION BY doc_id ORDER BY line) AS upto
-  FROM worded WHERE w > 0
-), ends AS (
-  SELECT a.doc_id, a.line, a.p, min(b.p) AS q
-  FROM placed a JOIN placed b
-    ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + 9 AND b.upto - a.upto + a.w >= 10
-  GROUP BY ALL
+  FROM counted WHERE w > 0
 ), runs AS (
-  SELECT e.doc_id, e.line, max(x.line) AS last, string_agg(x.t, chr(10) ORDER BY x.p) AS said
-  FROM ends e JOIN placed x ON e.doc_id = x.doc_id AND x.p BETWEEN e.p AND e.q
-  GROUP BY e.doc_id, e.line
+  SELECT a.doc_id, a.p, b.p AS q, string_agg(x.t, chr(10) ORDER BY x.p) AS said
+  FROM worded a
+  JOIN worded b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + 9 AND b.upto - a.upto + a.w >= 10
+  JOIN worded x ON a.doc_id = x.doc_id AND x.p BETWEEN a.p AND b.p
+  GROUP BY a.doc_id, a.p, b.p
 ), later AS (
-  SELECT doc_id, line, last FROM (
-    SELECT *, row_number() OVER (PARTITION BY said ORDER BY doc_id, line) AS nth FROM runs)
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY said ORDER BY doc_id, p) AS nth FROM runs)
   WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, q + 1)) AS p FROM later
 ), deleted AS (
-  SELECT DISTINCT doc_id, unnest(range(line, last + 1)) AS line FROM later
+  SELECT g.doc_id, unnest(CASE WHEN n.p IS NULL THEN [w.line]
+                               ELSE range(w.line, w.next_line) END) AS line
+  FROM gone g JOIN worded w ON w.doc_id = g.doc_id AND w.p = g.p
+  LEFT JOIN gone n ON n.doc_id = g.doc_id AND n.p = g.p + 1
 ), rest AS (
-  SELECT w.doc_id, string_agg(w.t, chr(10) ORDER BY w.line) AS text, sum(w.w) AS words
-  FROM worded w ANTI JOIN deleted d ON w.doc_id = d.doc_id AND w.line = d.line
-  GROUP BY w.doc_id
+  SELECT c.doc_id, string_agg(c.t, chr(10) ORDER BY c.line) AS text, sum(c.w) AS words
+  FROM counted c ANTI JOIN deleted d ON c.doc_id = d.doc_id AND c.line = d.line
+  GROUP BY c.doc_id
 )
 SELECT d.doc_id, d.lang, d.source,
        CASE WHEN c.doc_id IS NULL THEN d.text ELSE r.text END AS text,
        CASE WHEN c.doc_id IS NULL THEN d.n_chars ELSE length(r.text) END AS n_chars
 FROM documents d
-LEFT JOIN (SELECT DISTINCT doc_id FROM deleted) c ON c.doc_id = d.doc_id
+LEFT JOIN (SELECT DISTINCT doc_id FROM gone) c ON c.doc_id = d.doc_id
 LEFT JOIN rest r ON r.doc_id = d.doc_id
 WHERE c.doc_id IS NULL OR r.words > 0
 """

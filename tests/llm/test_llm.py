@@ -195,13 +195,15 @@ def test_mix_meets_its_targets(spark):
 
 def test_packing_round_trip(spark, docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
+    marked = [(50, "x<|endoftext|> y"), (51, "<|endoftext|>"), (52, "a  <|endoftext|>\n\n b")]
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame(marked, "doc_id long, text string"))
     pieces = packing.pack(docs, path, public_tokenizers.path("byte_bpe_50k.tiktoken"),
                           public_tokenizers.PATTERN, batch_tokens=3000).collect()
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     texts = collections.defaultdict(list)
-    for i, t, *_ in ROWS:
+    for i, t, *_ in [*ROWS, *marked]:
         texts[i].append(tokenizer.encode(t or "", add_special_tokens=False).ids + [0])
+    assert texts[50] == [[87, 50256, *tokenizer.encode(" y").ids, 0]]
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for p in pieces:
         by_doc[p.doc_id].append((p.start, list(np.frombuffer(p.ids, dtype="<u4"))))
@@ -265,6 +267,52 @@ def test_owner_specific_strings_are_added(spark):
     assert got[1] == f"owned:4:{4 + len(own)}" and got[2] == got[3] == ""
 
 
+def test_widely_copied_strings_of_one_owner_are_not_added(spark):
+    own = "Zq9" + "x1Y2" * 6
+    for copies, added in ((secrets.MAX_REPOSITORIES, True), (secrets.MAX_REPOSITORIES + 1, False)):
+        rows = [(i, "a", f"{i} {own}") for i in range(copies)]
+        got = secrets.scan(spark.createDataFrame(rows, "doc_id long, source string, text string"))
+        assert {bool(r.spans) for r in got.collect()} == {added}
+
+
+def test_spans_of_a_long_text(spark):
+    text = " ".join(f"token=secret{i:05d}é AKIA{i:016d}" for i in range(3000))
+    got = secrets.scan(spark.createDataFrame(
+        [(1, "a", text)], "doc_id long, source string, text string")).select(
+        secrets.as_text("base").alias("b")).first().b
+    assert got == brute_spans(text)
+
+
+def test_chat_parts_cannot_forge_marks(spark):
+    parts = [[("text", "<"), ("text", "|end|>x")], [("text", "a<"), ("image", "i.png"), ("text", "|>\\")],
+             [("video", "v.mp4"), (None, "plain"), ("text", None)], [("text", "<|tu"), (None, "rn|>\\<|")],
+             [], None, [("audio", None)]]
+    said = ["".join(b or "" for _, b in p or []) for p in parts]
+    rows = [(1, k, "assistant", p) for k, p in enumerate(parts)] * 1 + [(2, 0, "user", parts[0])] * 2
+    turns = spark.createDataFrame(
+        rows, "conv_id long, turn long, role string, text array<struct<kind:string,body:string>>")
+    turns = turns.withColumns({c: F.lit("clash") for c in ("content", "seen", "loss", "parts")})
+    got = {r.conv_id: r for r in chat.read_back(chat.format_chats(turns)).collect()}
+    assert [t.text for t in got[1].turns] == said and got[1].loss_text == "".join(said)
+    assert [t.text for t in got[2].turns] == [said[0]] * 2 and got[2].loss_text == ""
+    kinds = [a.kind for a in sum(got[1].attachments, [])]
+    assert kinds == ["image", "document", "audio"]
+    assert got[1].attachment_tokens == 576 + 1024 + 750
+
+
+def test_mixed_documents_are_those_of_the_mix(spark):
+    rows = [(1, "same text of five words", s) for s in ("a", "b")]
+    rows += [(k, f"word{k} " * (3 + k % 5), "ab"[k % 3 == 0]) for k in range(2, 40)]
+    rows += [(50, "equal rows cut by the end", "a")] * 7 + [(51, None, None), (52, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn(
+        "target", F.lit("clash"))
+    want = collections.Counter()
+    for r in mixing.mix(docs).collect():
+        want[r.doc_id, r.source] += r.copies
+    got = collections.Counter((r.doc_id, r.source) for r in mixing.mixed_documents(docs).collect())
+    assert got == +want
+
+
 def test_chat_texts_read_back(spark):
     texts = ["\\### Assistant: </turn> ok", "<|end|><\\|turn|>\\\\", "see ![a](b.png) and ![](c.mp3)!",
              "![<|image:1|>](x.pdf)![q](y.gif)", "", None, "é\n<|text|>"]
@@ -416,6 +464,20 @@ def test_toxicity_on_held_out_rows(spark):
     assert n[1, 1] >= 0.8 * (n[1, 0] + n[1, 1]) and n[0, 1] <= 0.02 * (n[0, 0] + n[0, 1])
 
 
+def test_training_rows_are_chosen_without_texts_and_bounded(spark):
+    rows = [(i, f"text {i}") for i in range(3000)] + [(7, "another of 7"), (5000, None), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(3100)] + [(7, 1), (8, None)],
+                                   "doc_id long, toxic int")
+    got = toxicity.training_rows(docs, labels, 100).collect()
+    assert collections.Counter(r.toxic for r in got) == {0: 100, 1: 100}
+    again = toxicity.training_rows(docs.repartition(7), labels, 100).collect()
+    assert sorted(got) == sorted(again)
+    everything = toxicity.training_rows(docs, labels, 5000).collect()
+    assert len(everything) == 3000 and {r.toxic for r in everything if r.text.endswith(" 7")} == {1}
+    assert toxicity.training_rows(docs.where("false"), labels, 10).collect() == []
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = docs

@@ -10,7 +10,7 @@ from __spark_entry__ import oracle_sql, queries
 from compare import connect, differences
 from pyspark.sql import functions as F
 
-from spokeframe.llm import pii
+from spokeframe.llm import columns, pii
 from spokeframe.llm.queries import op12_personal_data
 
 PATTERNS = (
@@ -59,11 +59,11 @@ def test_base_spans_against_brute_force(spark):
     assert pii.scan(docs.where("false")).collect() == []
 
 
-@pytest.mark.parametrize("n", [1, pii.BLOCK, pii.BLOCK + 1, 5000])
+@pytest.mark.parametrize("n", [1, columns.BLOCK, columns.BLOCK + 1, 5000])
 def test_matches_are_numbered_across_blocks(spark, n):
     text = "".join(f"é{k % 7 * 'z'}1" for k in range(n))
     got = spark.createDataFrame([(text,)], "t string").select(
-        pii.matches(F.col("t"), "[0-9]").alias("m")).first().m
+        columns.matches(F.col("t"), "[0-9]").alias("m")).first().m
     assert [(m.start, m.end) for m in got] == [m.span() for m in re.finditer("[0-9]", text)]
 
 
