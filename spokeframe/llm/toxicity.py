@@ -14,8 +14,9 @@ Learning uses at most ``FIT_ROWS`` labelled rows of each label, chosen by a hash
 dictionaries have a fixed size. Scoring reads whole texts of all documents, row by row.
 
 Defined results: a null or empty text has no windows and scores the lowest there is. Where a label
-has no training rows every score is 0. Repeated ids join labels as they stand; a document with
-several labels trains with the greatest.
+has no training rows, as in an empty table, every score is 0. A document with several labels trains
+with the greatest; of several texts of one id the least trains. Equal texts have equal scores. A text
+of any length is looked at whole, word by word. Other columns of the table are not read.
 """
 
 import collections
@@ -25,10 +26,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from spokeframe.llm.columns import only
+from spokeframe.llm.workers import tidy
+from spokeframe.session import through_table
 
 FIT_ROWS = 4000
 DICTIONARY_BYTES = 16 << 10
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 # A search deep enough to find the longest match among many that begin alike.
 SEARCH = {"window_log": 17, "hash_log": 13, "chain_log": 14, "search_log": 9, "min_match": 3,
@@ -165,32 +168,44 @@ def fit(rows):
     return *_dictionaries(texts[1], texts[0]), _fit_logistic(np.array(x), np.array(y))
 
 
-def training_rows(docs, labels, fit_rows=FIT_ROWS):
-    """At most ``fit_rows`` rows of each label, the same whenever asked."""
+def training_ids(docs, labels, fit_rows=FIT_ROWS):
+    """``chosen, toxic``: at most ``fit_rows`` ids of each label, the same whenever asked.
+
+    No text is read for it. A label's ids are thinned by a hash to about twice as many as are wanted
+    before they are ordered, so what all partitions send together is bounded as well.
+    """
     marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic IN (0, 1)")
-    met = docs.join(marked, "doc_id").select("text", "toxic", F.md5(F.concat_ws(
-        "|", F.col("doc_id").cast("string"), "text")).alias("order"))
-    sides = [met.where(F.col("toxic") == label).orderBy("order", "text").limit(fit_rows)
-             for label in (0, 1)]
-    return sides[0].union(sides[1]).select("text", "toxic", "order")
+    met = through_table(docs.select("doc_id").distinct().join(marked, "doc_id"))
+    numbers = {r["toxic"]: r["n"] for r in met.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    sides = [met.where((F.col("toxic") == label) & (draw < 2 * fit_rows / numbers.get(label, 1)))
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows) for label in (0, 1)]
+    return through_table(sides[0].union(sides[1]).withColumnRenamed("doc_id", "chosen"))
+
+
+def training_rows(docs, labels, fit_rows=FIT_ROWS):
+    """``text, toxic, order`` of the chosen ids: one text an id, so at most ``fit_rows`` of a label."""
+    # Two times ``fit_rows`` ids at most: small enough to send to all tasks.
+    ids = F.broadcast(training_ids(docs, labels, fit_rows))
+    found = docs.join(ids, docs["doc_id"] == F.col("chosen")).where("text IS NOT NULL")
+    return found.groupBy("chosen", "toxic").agg(F.min("text").alias("text")).select(
+        "text", "toxic", F.md5(F.concat_ws("|", F.col("chosen").cast("string"), "text")).alias("order"))
 
 
 def learn(docs, labels, fit_rows=FIT_ROWS):
     """The fitted model of labelled documents, made in one task from a bounded sample."""
     def run(frames):
-        rows = pd.concat(list(frames)).sort_values("order") if frames else None
-        model = fit(zip(rows["text"], rows["toxic"].astype(int))) if rows is not None else None
+        frames = [f for f in frames if len(f)]
+        if not frames:
+            return
+        rows = pd.concat(frames).sort_values("order")
+        model = fit(zip(rows["text"], rows["toxic"].astype(int)))
         if model:
             yield pd.DataFrame({"toxic": [model[0]], "ordinary": [model[1]],
                                 "weights": [model[2].tolist()]})
 
-    def gathered(frames):
-        frames = [f for f in frames if len(f)]
-        if frames:
-            yield from run(frames)
-
     found = training_rows(docs, labels, fit_rows).coalesce(1).mapInPandas(
-        gathered, "toxic binary, ordinary binary, weights array<double>").first()
+        tidy(run), "toxic binary, ordinary binary, weights array<double>").first()
     return (bytes(found["toxic"]), bytes(found["ordinary"]), list(found["weights"])) if found \
         else None
 
@@ -218,7 +233,7 @@ def with_scores(docs, model, text="text", score="score"):
                 names=[*batch.schema.names, score])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, `{score}` double")
+    return docs.mapInArrow(tidy(run), f"{schema}, `{score}` double")
 
 
 def held_out(doc_id, parts=3, part=1):
@@ -229,7 +244,7 @@ def held_out(doc_id, parts=3, part=1):
 def score_documents(docs, labels, fit_rows=FIT_ROWS, doc_id="doc_id", text="text"):
     """``doc_id, held_out, score, predicted`` of every document."""
     plain = only(docs, doc_id=doc_id, text=text).withColumn("held_out", held_out("doc_id"))
-    model = learn(plain.where(~F.col("held_out")).where("text IS NOT NULL"), labels, fit_rows)
+    model = learn(plain.where(~F.col("held_out")), labels, fit_rows)
     scored = with_scores(plain, model)
     return scored.select("doc_id", "held_out", "score",
                          F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
