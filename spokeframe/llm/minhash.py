@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from spokeframe.llm.columns import only
 from spokeframe.llm.components import components
 from spokeframe.llm.wordhash import chunks, hashed_words, mix
+from spokeframe.llm.workers import tidy
 from spokeframe.session import through_table
 
 WORDS = 5
@@ -105,7 +106,7 @@ def _sketched(batches):
 
 
 def sketches(docs):
-    return docs.mapInArrow(_sketched, _SKETCHED)
+    return docs.mapInArrow(tidy(_sketched), _SKETCHED)
 
 
 def shared_at_least(size, threshold):
@@ -303,7 +304,7 @@ def candidates(lists, threshold, partners=None):
     """Distinct candidate pairs ``a, b`` of the lists (with ``root``, pairs of one root left out)."""
     ordered = lists.repartition("value", "part").sortWithinPartitions("value", "part")
     return ordered.mapInPandas(
-        _candidates(threshold, partners), "a binary, b binary").distinct()
+        tidy(_candidates(threshold, partners)), "a binary, b binary").distinct()
 
 
 def _sets_of(pairs, docs, classes):
@@ -340,7 +341,7 @@ def _sets_of(pairs, docs, classes):
                 ], names=["doc_id", "set_id", "hashes"])
 
     sets = docs.select("doc_id", "text", position.alias("at")).mapInArrow(
-        read, "doc_id bigint, set_id binary, hashes array<bigint>")
+        tidy(read), "doc_id bigint, set_id binary, hashes array<bigint>")
     one_each = named.withColumnsRenamed({"doc_id": "first_id", "set_id": "first_set"})
     met = sets.join(one_each, (F.col("set_id") == F.col("first_set")) & (
         F.col("doc_id").eqNullSafe(F.col("first_id"))))

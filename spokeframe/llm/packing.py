@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import types as T
 
+from spokeframe.llm.workers import tidy
+
 LENGTH = 1024
 END = 0
 BATCH_TOKENS = 2_000_000
 
 # Distinct chunks of text whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 # New chunks of each batch that are encoded both ways and compared, where ranks are given.
 COMPARED = 50
@@ -60,14 +62,16 @@ class ChunkEncoder:
     with blanks beside other white space are encoded whole. Ids are 32-bit little-endian.
 
     ``ranks`` and ``pattern`` give the same vocabulary to a quicker library; its ids are compared
-    with the tokenizer's for some chunks of every batch.
+    with the tokenizer's for some chunks, and a text encoded whole, of every batch. Texts that hold
+    one of the tokenizer's added tokens are encoded by the tokenizer.
     """
 
     def __init__(self, path, ranks=None, pattern=None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Strings that are tokens of their own wherever they stand.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Chunks without the blank in front of them -> ids with it.
         self.known = {}
         self.fast = None
@@ -91,6 +95,11 @@ class ChunkEncoder:
             return self._exact([text])[0]
         return np.array(self.fast(text), dtype="<u4").tobytes()
 
+    @staticmethod
+    def _same(exact, fast):
+        if exact != fast:
+            raise ValueError("the ranks are not those of the tokenizer")
+
     def _learn(self, chunks):
         """Encode new chunks in one text; the widths of the ids show where each ends."""
         if self.fast is None:
@@ -113,9 +122,16 @@ class ChunkEncoder:
         if len(self.known) > REMEMBERED:
             self.known = {}
         known, found, compared = self.known, [], self.fast is None
+        compared_uneven = compared
         for text in texts:
+            if any(token in text for token in self.added):
+                found.append(self._exact([text])[0])
+                continue
             if not text or self.uneven(text):
                 found.append(self._whole(text))
+                if text and not compared_uneven:
+                    self._same(self._exact([text]), found[-1:])
+                    compared_uneven = True
                 continue
             first, *chunks = text.split(" ")
             new = set(chunks).difference(known)
@@ -124,8 +140,7 @@ class ChunkEncoder:
                 self._learn(new)
                 if not compared:
                     some = new[:COMPARED]
-                    if self._exact([" " + chunk for chunk in some]) != [known[c] for c in some]:
-                        raise ValueError("the ranks are not those of the tokenizer")
+                    self._same(self._exact([" " + chunk for chunk in some]), [known[c] for c in some])
                     compared = True
             found.append(self._whole(first) + b"".join(map(known.__getitem__, chunks)))
         return found
@@ -260,4 +275,4 @@ def pack(docs, tokenizer, ranks=None, pattern=None, capacity=LENGTH, end=END,
 
     plain = only(docs, doc_id=doc_id, text=text)
     return plain.selectExpr("cast(doc_id AS bigint) AS doc_id", "cast(text AS string) AS text") \
-        .mapInArrow(run, PIECES)
+        .mapInArrow(tidy(run), PIECES)

@@ -11,7 +11,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 # Bytes of text worked on at once; a longer text is worked on alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
