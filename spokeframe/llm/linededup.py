@@ -1,4 +1,7 @@
-"""Delete later copies of repeated runs of lines.
+"""Delete later copies of repeated runs of lines: ranks by prefix doubling, grouped instead of sorted.
+
+Of the suffix array only what the deletion needs is made: which places begin alike, and which of them
+comes first. The order among unlike places and the lengths of longer common prefixes are not made.
 
 A document is its sequence of line ids. Prefix doubling gives every place a rank for the 1, 2, 4, ...
 lines that start there: places have equal ranks at a level if and only if those lines are equal. The
@@ -21,7 +24,8 @@ is one that adaptive execution splits.
 Defined results: corpus order is ``doc_id`` (nulls first), then a hash of the text, then the line.
 Rows equal in id and text are one document and fare alike. Lines without a word are in no run; they
 stay, but for those between two deleted lines. A null text is empty. A document all of whose
-lines with words go is deleted, one that had none stays as it is.
+lines with words go is deleted, one that had none stays as it is. An empty table gives an empty table,
+and the table's other columns are passed through. Lines and runs are told apart by 128 bits.
 """
 
 import functools
@@ -29,14 +33,21 @@ import functools
 from pyspark.sql import functions as F
 
 from spokeframe.llm.columns import WORD, let, only, text_or_empty
+from spokeframe.session import through_table
 
 MIN_WORDS = 10
 
 
+def _rank(*parts):
+    """A rank of 128 bits: two hashes that have nothing in common but what is hashed."""
+    return F.struct(F.xxhash64(*(p["a"] for p in parts)).alias("a"),
+                    F.xxhash64(F.lit("b"), *(p["b"] for p in parts)).alias("b"))
+
+
 def _doubled(step, ranks):
     """Ranks of twice the length: null where the document ends before."""
     return F.transform(ranks, lambda r, i: F.when(
-        i + step < F.size(ranks), F.xxhash64(r, ranks.getItem(i + step))))
+        i + step < F.size(ranks), _rank(r, F.get(ranks, i + step))))
 
 
 def _run_length(ahead, min_words):
@@ -70,7 +81,9 @@ def suffix_ranks(docs, min_words=MIN_WORDS, doc_id="doc_id", text="text"):
     plain = only(docs, doc_id=doc_id, text=text).withColumn("text", text_or_empty("text"))
     lines = F.filter(
         F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(
-            i.alias("line"), F.xxhash64(t, F.length(t)).alias("id"),
+            i.alias("line"), F.struct(
+                F.xxhash64(t, F.length(t)).alias("a"),
+                F.xxhash64(F.lit("b"), t, F.length(t)).alias("b")).alias("id"),
             F.regexp_count(t, F.lit(WORD)).alias("words"))),
         lambda s: s["words"] > 0)
     levels = (min_words - 1).bit_length() + 1
@@ -91,7 +104,8 @@ def suffix_ranks(docs, min_words=MIN_WORDS, doc_id="doc_id", text="text"):
         back = n - F.pow(F.lit(2), h).cast("int")
         last = lines[i + n - 1]["line"]
         return F.when(n.isNotNull(), F.struct(
-            F.xxhash64(n, ranks[h][i], ranks[h][i + back]).alias("rank"),
+            _rank(F.struct(n.alias("a"), n.alias("b")), F.get(F.get(ranks, h), i),
+                  F.get(F.get(ranks, h), i + back)).alias("rank"),
             lines[i]["line"].alias("line"), last.alias("last"),
             F.coalesce(F.get(lines, i + n)["line"], last).alias("next")))
 
@@ -109,7 +123,8 @@ def suffix_ranks(docs, min_words=MIN_WORDS, doc_id="doc_id", text="text"):
 
 def repeated_runs(docs, min_words=MIN_WORDS, doc_id="doc_id", text="text"):
     """``doc_id, tie, runs``: per document the maximal runs (first and last line) to delete."""
-    places = suffix_ranks(docs, min_words, doc_id, text)
+    # Written, as the ranks are grouped and then joined to the groups again.
+    places = through_table(suffix_ranks(docs, min_words, doc_id, text))
     place = F.struct("doc_id", "tie", "line")
     intervals = (
         places.groupBy("rank").agg(F.min(place).alias("first"), F.count("*").alias("n"))
