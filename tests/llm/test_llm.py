@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+import xxhash
 from __spark_entry__ import oracle_sql, queries
 from compare import connect, differences
 from pyspark.sql import functions as F
@@ -368,6 +369,41 @@ def test_fingerprints_meet_the_winnowing_guarantee(spark):
     assert got[1] & got[2] and not got[1] & got[3]
 
 
+def brute_winnowing(text, k=winnow.K, w=winnow.W):
+    """``(39 bits of hash, position)`` of the selected runs, straight from the definition."""
+    tokens = re.findall(winnow.TOKEN, text)
+
+    def digest(words):
+        seed = 42
+        for word in words:
+            seed = xxhash.xxh64(word.encode(), seed=seed).intdigest()
+        return seed >> 25
+
+    if not tokens:
+        return []
+    if len(tokens) < k:
+        return [(digest([" ".join(tokens)]), 0)]
+    hashes = [digest(tokens[i:i + k]) for i in range(len(tokens) - k + 1)]
+    chosen = []
+    for begin in range(max(1, len(hashes) - w + 1)):
+        window = range(begin, min(begin + w, len(hashes)))
+        # The least hash, the rightmost of equal ones.
+        best = min(window, key=lambda i: (hashes[i], -i))
+        if (hashes[best], best) not in chosen:
+            chosen.append((hashes[best], best))
+    return chosen
+
+
+def test_fingerprints_against_brute_force(spark, docs):
+    tied = [(100, "a b c d e " * 30), (101, "é🙂x" * 40 + " y" * 50), (102, "same " * 200)]
+    rows = docs.select("doc_id", "text").union(
+        spark.createDataFrame(tied, "doc_id long, text string"))
+    for r in winnow.fingerprints(rows).collect():
+        got = [((p >> 24) & ((1 << 39) - 1), (1 << 24) - 1 - (p & ((1 << 24) - 1)))
+               for p in r.selected]
+        assert got == brute_winnowing(r.text)
+
+
 def test_next_documents_and_edited_texts(spark):
     got = {r.doc_id: r for r in queries()["op9_fingerprints"](spark, SF).collect()}
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
@@ -478,6 +514,74 @@ def test_training_rows_are_chosen_without_texts_and_bounded(spark):
     assert toxicity.training_rows(docs.where("false"), labels, 10).collect() == []
 
 
+def brute_near_groups(rows, percent):
+    """``doc_id`` of the first document of each group of linked texts."""
+    sets = []
+    for _, text in rows:
+        words = WORD.findall((text or "").translate(ASCII_LOWER))
+        sets.append({tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for i, one in enumerate(sets):
+        for j in range(i):
+            if one and 100 * len(one & sets[j]) >= percent * len(one | sets[j]):
+                root[find(i)] = find(j)
+    groups = collections.defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        groups[find(i)].append(doc_id)
+    return sorted(min(g) for g in groups.values())
+
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    def prose(name, n):
+        return " ".join(f"{name}{k * k % 89}" for k in range(n))
+
+    shared = "\n".join([prose("s", 12), prose("t", 3)])
+    rows = [(i, f"{prose(f'd{i}x', 60)}\n{prose(f'e{i}x', 20)}", "ab"[i % 3 == 0]) for i in range(1, 40)]
+    rows += [(100, rows[0][1], "a"), (101, rows[1][1] + " more", "b"), (102, shared, "a"),
+             (103, f"own line here\n{shared}", "b"), (104, None, "a"), (105, "", None),
+             (106, rows[2][1].replace("e3x0", "zz", 1), "a"), (107, "x y", None), (108, "x y", "b"),
+             (110, prose("q", 300), "a"), (111, prose("q", 300).replace("q1 ", "zz ", 1), "b")]
+    docs = spark.createDataFrame(
+        [(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows], SCHEMA)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def texts(df):
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+    # Labels of one kind teach nothing, so nothing is rejected.
+    kept = stages["toxicity"](spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and texts(kept) == texts(docs)
+    lines = stages["line dedup"](spark, kept, str(tmp_path))
+    want = brute_line_dedup([(i, t) for i, t, _ in rows if t is not None])
+    assert texts(lines) == sorted([*want.items(), (104, None)], key=str)
+    assert want[103] == "own line here" and 100 not in want
+    near = stages["near dedup"](spark, lines, str(tmp_path))
+    assert sorted(r.doc_id for r in near.collect()) == brute_near_groups(texts(lines), 80)
+    assert not {108, 111} & {r.doc_id for r in near.collect()}
+    mixed = stages["mixing"](spark, near, str(tmp_path))
+    copies = {r.doc_id: r.copies for r in mixing.mix(near).collect()}
+    assert collections.Counter(r.doc_id for r in mixed.collect()) == +collections.Counter(copies)
+    assert mixed.columns == docs.columns
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = collections.Counter()
+    for r in mixed.collect():
+        ids[r.doc_id] += len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1
+    packed = stages["packing"](spark, mixed, str(tmp_path)).collect()
+    got = collections.Counter()
+    for p in packed:
+        got[p.doc_id] += p.length
+    assert got == ids
+    empty = docs.where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).collect() == []
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = docs
