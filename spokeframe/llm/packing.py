@@ -29,7 +29,7 @@ END = 0
 BATCH_TOKENS = 2_000_000
 
 # Distinct chunks of text whose ids a worker remembers.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 # New chunks of each batch that are encoded both ways and compared, where ranks are given.
 COMPARED = 50
