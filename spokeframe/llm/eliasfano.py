@@ -1,90 +1,161 @@
-"""A compact sorted set of integers (Elias and Fano) with values, for a trie of word pairs.
+"""Levels of a trie in compact bytes: rising integers by Elias and Fano, searched where they lie.
 
-The high bits of the sorted codes are in unary in a bit vector, the low bits packed side by side.
+``Sequence`` is a rising sequence: the high bits of its numbers are in unary in a bit vector, the low
+bits packed side by side. A directory counts the ones before each 64-bit word of the bit vector, so a
+number, or the place of one, is found without unpacking. ``Level`` has the successors of contexts:
+monotone pointers to each context's first successor, and the successors themselves, made rising over
+the whole level by adding what the context before ends with. All look-ups take arrays.
 """
 
 import numpy as np
 
+# Numbers packed at once; a multiple of eight, so that every block ends with a byte.
+_BLOCK = 1 << 13
+
+_SIX = tuple(np.uint64(x) for x in (32, 16, 8, 4, 2, 1))
+
 
 def pack_bits(values, width):
-    """``values`` of ``width`` bits each, side by side, as bytes."""
-    if not width:
-        return b""
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    """``values`` of ``width`` bits each, side by side, as bytes with eight spare ones."""
+    packed, places = [], np.arange(width, dtype=np.uint64)
+    for at in range(0, len(values) if width else 0, _BLOCK):
+        bits = (values[at:at + _BLOCK].astype(np.uint64)[:, None] >> places) & np.uint64(1)
+        packed.append(np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes())
+    return b"".join(packed) + bytes(8)
 
 
 def take_bits(data, width, at):
-    """The packed values at the positions ``at``. ``data`` ends with eight spare bytes."""
+    """The packed values at the positions ``at``; widths up to 56 bits."""
+    word = np.zeros(len(at), dtype=np.uint64)
     if not width:
-        return np.zeros(len(at), dtype=np.uint64)
+        return word
     begin = at.astype(np.int64) * width
     first = begin >> 3
-    word = np.zeros(len(at), dtype=np.uint64)
-    for byte in range((width + 7) // 8 + 1):
+    for byte in range(min(8, (width + 7) // 8 + 1)):
         word |= data[first + byte].astype(np.uint64) << np.uint64(8 * byte)
     return (word >> (begin & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
 
 
-class Levels:
-    """Sorted codes with one value each, as written by ``encode``.
+def join(parts):
+    """Byte strings as one, each at a multiple of eight bytes, after a table of their lengths."""
+    head = np.array([len(parts), *map(len, parts)], dtype=np.int64).tobytes()
+    return head + b"".join(part + bytes(-len(part) % 8) for part in parts)
+
 
-    ``find`` looks codes up: the unary part gives the few places that share a code's high bits, and
-    a search among their low bits ends at the code or shows that it is missing.
-    """
+def split(data):
+    """The parts of ``join`` as views."""
+    n = int(data[:8].view(np.int64)[0])
+    lengths = data[8:8 + 8 * n].view(np.int64).tolist()
+    at, out = 8 + 8 * n, []
+    for length in lengths:
+        out.append(data[at:at + length])
+        at += length + -length % 8
+    return out
+
+
+def _nth_one(words, n):
+    """Place of the n-th one (from 0) in each 64-bit word."""
+    place = np.zeros(len(words), dtype=np.uint64)
+    n = n.astype(np.int64)
+    for step in _SIX:
+        lower = np.bitwise_count((words >> place) & ((np.uint64(1) << step) - np.uint64(1)))
+        beyond = n >= lower
+        n = np.where(beyond, n - lower, n)
+        place = np.where(beyond, place + step, place)
+    return place.astype(np.int64)
+
+
+class Sequence:
+    """Rising integers, as written by ``encode``; ``data`` is an array of bytes, mapped or not."""
 
     def __init__(self, data):
-        head = np.frombuffer(data[:40], dtype=np.int64)
-        self.n, self.low_width, self.value_width, high_bytes, low_bytes = head.tolist()
-        rest = np.frombuffer(data, dtype=np.uint8)[40:]
-        unary = np.unpackbits(rest[:high_bytes], bitorder="little")
-        # The k-th zero ends bucket k; the ones before it are the codes up to there.
-        zeros = np.flatnonzero(unary == 0)
-        self.ends = (zeros - np.arange(len(zeros))).astype(np.int64)
-        self.low = rest[high_bytes:]
-        self.values = rest[high_bytes + low_bytes:]
+        head, high, before, self.low = split(data)
+        self.n, self.width, self.buckets = head.view(np.int64).tolist()
+        self.high, self.ones = high.view(np.uint64), before.view(np.uint32)
+        self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
 
     @staticmethod
-    def encode(codes, values, universe, value_width):
-        n = len(codes)
-        low_width = max(0, (universe // max(n, 1)).bit_length() - 1)
-        high = (codes >> np.uint64(low_width)).astype(np.int64)
-        buckets = (universe >> low_width) + 1
-        unary = np.zeros(n + buckets, dtype=np.uint8)
-        unary[high + np.arange(n)] = 1
-        high_bytes = np.packbits(unary, bitorder="little").tobytes()
-        # Bits that only fill the last byte read as ones, or they would end further buckets.
-        spare = 8 * len(high_bytes) - len(unary)
-        if spare:
-            high_bytes = high_bytes[:-1] + bytes([high_bytes[-1] | (0xFF << (8 - spare)) & 0xFF])
-        low = pack_bits(codes & np.uint64((1 << low_width) - 1), low_width) + bytes(8)
-        head = np.array([n, low_width, value_width, len(high_bytes), len(low)], dtype=np.int64)
-        return head.tobytes() + high_bytes + low + pack_bits(values, value_width) + bytes(8)
-
-    def find(self, codes):
-        """``(present, value)`` of each code."""
-        high = (codes >> np.uint64(self.low_width)).astype(np.int64)
-        inside = high < len(self.ends)
-        high = np.where(inside, high, 0)
-        end = self.ends[high]
-        begin = np.where(high > 0, self.ends[high - 1], 0)
-        last = end.copy()
-        wanted = codes & np.uint64((1 << self.low_width) - 1)
-        # The least place in the bucket whose low bits are not below the wanted ones.
+    def encode(values, universe):
+        """``values`` rise and lie below ``universe``."""
+        n = len(values)
+        width = max(0, (universe // max(n, 1)).bit_length() - 1)
+        buckets = (universe >> width) + 1
+        # Bucket after bucket: a one for each of its numbers, then a zero.
+        unary = np.zeros(-(-(n + buckets) // 64) * 64, dtype=np.uint8)
+        unary[(values >> width).astype(np.int64) + np.arange(n)] = 1
+        high = np.packbits(unary, bitorder="little").view(np.uint64)
+        counts = np.bitwise_count(high).astype(np.int64)
+        low = pack_bits(values & ((1 << width) - 1), width)
+        return join([np.array([n, width, buckets], dtype=np.int64).tobytes(), high.tobytes(),
+                     (np.cumsum(counts) - counts).astype(np.uint32).tobytes(), low])
+
+    def _lows(self, at):
+        return take_bits(self.low, self.width, at).astype(np.int64)
+
+    def get(self, at):
+        """The numbers at the places ``at``."""
+        word = np.searchsorted(self.ones, at, "right") - 1
+        one = word * 64 + _nth_one(self.high[word], at - self.ones[word])
+        return ((one - at) << self.width) | self._lows(at)
+
+    def _end(self, bucket):
+        """How many numbers lie in the buckets up to each one."""
+        word = np.searchsorted(self.zeros, bucket, "right") - 1
+        zero = word * 64 + _nth_one(~self.high[word], bucket - self.zeros[word])
+        return zero - bucket
+
+    def find(self, numbers):
+        """``(present, place)`` of each number."""
+        bucket = numbers >> self.width
+        inside = (bucket >= 0) & (bucket < self.buckets)
+        if not self.n or not len(numbers):
+            return np.zeros(len(numbers), dtype=bool), np.zeros(len(numbers), dtype=np.int64)
+        bucket = np.where(inside, bucket, 0)
+        last = self._end(bucket)
+        begin, end = np.where(bucket > 0, self._end(np.maximum(bucket - 1, 0)), 0), last.copy()
+        wanted = numbers & ((1 << self.width) - 1)
         while True:
-            open_ = begin < end
-            if not open_.any():
+            searched = np.flatnonzero(begin < end)
+            if not len(searched):
                 break
-            middle = (begin + end) >> 1
-            below = np.zeros(len(codes), dtype=bool)
-            below[open_] = take_bits(self.low, self.low_width, middle[open_]) < wanted[open_]
-            begin = np.where(open_ & below, middle + 1, begin)
-            end = np.where(open_ & ~below, middle, end)
+            middle = (begin[searched] + end[searched]) >> 1
+            below = self._lows(middle) < wanted[searched]
+            begin[searched[below]] = middle[below] + 1
+            end[searched[~below]] = middle[~below]
         present = inside & (begin < last)
-        at = np.where(present, begin, 0)
-        if self.n:
-            present &= take_bits(self.low, self.low_width, at) == wanted
-            value = take_bits(self.values, self.value_width, at)
-        else:
-            value = np.zeros(len(codes), dtype=np.uint64)
-        return present, value
+        place = np.where(present, begin, 0)
+        return present & (self._lows(place) == wanted), place
+
+
+class Level:
+    """Successors of contexts with one quantised value each, as written by ``encode``."""
+
+    def __init__(self, data, bits):
+        pointers, grams, self.values = split(data)
+        self.pointers, self.grams, self.bits = Sequence(pointers), Sequence(grams), bits
+
+    @staticmethod
+    def encode(contexts, parent, successor, values, bits):
+        """Rows rise by ``parent``, below ``contexts``, and by ``successor`` within a parent."""
+        sizes = np.bincount(parent, minlength=contexts)
+        pointers = np.concatenate([[0], np.cumsum(sizes)])
+        ends = pointers[1:][sizes > 0] - 1
+        spans = np.zeros(contexts, dtype=np.int64)
+        spans[sizes > 0] = successor[ends] + 1
+        base = np.cumsum(spans) - spans
+        return join([Sequence.encode(pointers, len(parent) + 1),
+                     Sequence.encode(base[parent] + successor, int(spans.sum()) + 1),
+                     pack_bits(values, bits)])
+
+    def find(self, context, successor):
+        """``(present, place)`` of each successor, searched relative to its context's own begin."""
+        names, where = np.unique(context, return_inverse=True)
+        begin, end = self.pointers.get(names), self.pointers.get(names + 1)
+        base = np.zeros(len(names), dtype=np.int64)
+        later = np.flatnonzero(begin > 0)
+        base[later] = self.grams.get(begin[later] - 1) + 1
+        present, place = self.grams.find(base[where] + successor)
+        return present & (place >= begin[where]) & (place < end[where]), place
+
+    def value(self, place):
+        return take_bits(self.values, self.bits, place)

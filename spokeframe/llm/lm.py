@@ -1,53 +1,73 @@
 """Language-model scores of documents from an n-gram trie in Elias-Fano levels.
 
 Words are lower-cased (A-Z) and hashed to 64 bits; a text is its words and an end token. All counts
-cover all training rows.
-
-* Vocabulary. Every training word with its count. It is summed in the tasks and then over the table,
-  and never leaves the cluster as a whole. The ``RESIDENT`` most frequent words go to the tasks (three
-  megabytes at most); rarer words of a document meet their counts by a join on the word.
-* Trie. Words fall into classes: one for each of the ``CLASSES`` most frequent, one for all others.
-  A pair of classes has an interpolated, absolutely discounted probability, quantised, in a trie
-  whose level of successors is one Elias-Fano sequence: context and successor make one rising code,
-  and a query searches for its code only among the places of its context's high bits. The classes
-  bound the trie at ``(CLASSES + 1) ** 2`` pairs, 50 MB at the very most, whatever the corpus. It is
-  built context range by context range in the tasks, and read memory-mapped.
-* A word of the class of others has its own discounted share of that class; what the discount saves
-  is the share of the one unknown word.
+cover all training rows, every word has contexts of its own, and the trie grows with the corpus.
+
+* Vocabulary. Every training word with its count, summed in the tasks and then over the table.
+  *Resident* words, each at least 1 in ``RESIDENT`` of all training tokens (so there are never more
+  than that, 32 MB), go to the tasks; rarer words meet their counts by a join on the word.
+* Trie. ``p(w | u v)`` interpolates orders three, two and one with an absolute discount. The trie is
+  cut into shards by the middle word: the shard of ``v`` has the words after ``v``, the words ``u``
+  before it, and under each context ``u v`` the words that follow. These are three Elias-Fano levels
+  with monotone pointers and quantised discounted shares, searched in a memory-mapped file of the task
+  that built them. A word with more than ``SHARD`` tokens is spread over shards by ``u``; the words
+  after it are then summed beforehand and given to each of them.
+* Scoring. Each task sends a chunk's runs of three words to their shards as packed columns, once for
+  counts and scores alike. A shard's task reads its chunks one after the other, first to build the
+  shard, then to look up their runs; it holds one shard, and keeps more than ``KEPT`` bytes of chunks
+  in a file. So a run that a third of all documents have costs memory in no task.
+* What a shard answers is linear in the last order: ``p = a + b * p1(w)``. Resident words are done
+  with there; rarer ones take ``a`` and ``b`` to the join with their counts.
+* What discounts save goes to the next lower order, and from the last one to the unknown word.
 
 So the model's probabilities of all known words and the unknown one after any context add up to one,
-but for the quantisation.
+but for the quantisation (``BITS`` bits of a logarithm, about 0.3 % of a share).
 
-Defined results: a null text is empty and has the end token alone. Rows without id are training rows.
-Without training rows every word is unknown. Repeated rows count as often as they stand there.
+Defined results: a null text is empty and has the end token alone; a text's first token follows two
+ends. Rows without id are training rows. Without training rows every word is unknown. Repeated rows
+count as often as they stand there. Very long texts are worked on in several chunks. An empty table
+gives no rows; columns other than the id and the text are not read.
 """
 
 import mmap
+import struct
 import tempfile
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from spokeframe.llm.columns import only
-from spokeframe.llm.eliasfano import Levels
-from spokeframe.llm.wordhash import chunks, hashed_words
+from spokeframe.llm.eliasfano import Level, Sequence, join, pack_bits, split, take_bits
+from spokeframe.llm.wordhash import chunks, hashed_words, mix
+from spokeframe.llm.workers import tidy
 from spokeframe.session import through_table
 
-RESIDENT, CLASSES = 1 << 18, 4096
-RANGES = 64
+RESIDENT = 1 << 21
 
-# Quantised log10 probabilities: this many bits from the least to 0.
+# Training tokens of a shard, on average and before a word is spread over several.
+SHARD = 1 << 19
+
+# What orders three and two take off each count.
+DISCOUNT = 0.75
+
+# Quantised log10 shares: this many bits from the least to 0.
 BITS, LEAST = 12, -12.0
 
-# Distinct words or pairs that a task sums before it passes them on.
-HELD = 1_000_000
+# Distinct words that a task sums before it passes them on, and tokens that it sends as one chunk.
+HELD, CHUNK_TOKENS = 1_000_000, 1 << 20
+
+# Runs looked up at once, documents whose sums a task holds, and bytes of a shard's chunks in memory.
+LOOKED_UP, DOCUMENTS, KEPT = 1 << 17, 1 << 20, 1 << 26
 
 # The hash that stands for the end of a text.
 END = np.uint64(0)
 
+# Codes of words without a resident's number have this bit.
+RARE = np.uint64(1 << 63)
+
 
 def token_stream(column):
     """``(first, tokens, bounds)``: hashes of texts in a row, each closed by the end token."""
@@ -97,184 +117,453 @@ def word_counts(docs):
             yield from sums.batches(["word", "count"], False)
         yield from sums.batches(["word", "count"], True)
 
-    counted = docs.select("text").mapInArrow(run, "word bigint, count bigint")
+    counted = docs.select("text").mapInArrow(tidy(run), "word bigint, count bigint")
     return counted.groupBy("word").agg(F.sum("count").alias("count"))
 
 
-class Classes:
-    """Counts of the resident words, and the class of any word (the last one: others)."""
+class Residents:
+    """Numbers and counts of the resident words; ``code`` gives any word a number of its own."""
 
-    def __init__(self, words, counts, classes):
+    def __init__(self, words, counts):
         words = np.array(words, dtype=np.int64).view(np.uint64)
-        counts = np.array(counts, dtype=np.int64)
         order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-        # Residents come by falling count, so the first ones have classes of their own.
-        rank = np.arange(len(words))
-        self.other = min(classes, len(words))
-        self.class_of = np.where(rank < self.other, rank, self.other)[order]
-
-    def look_up(self, tokens):
-        """``(resident, count, class)`` of each token."""
+        self.words, self.counts = words[order], np.array(counts, dtype=np.int64)[order]
+
+    def code(self, tokens):
         if not len(self.words):
-            none = np.zeros(len(tokens), dtype=np.int64)
-            return none.astype(bool), none, none + self.other
+            return tokens | RARE
         at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        resident = self.words[at] == tokens
-        return (resident, np.where(resident, self.counts[at], 0),
-                np.where(resident, self.class_of[at], self.other))
+        return np.where(self.words[at] == tokens, at.astype(np.uint64), tokens | RARE)
+
+    def count(self, codes):
+        """Count of each resident code, 0 for the others."""
+        if not len(self.words):
+            return np.zeros(len(codes), dtype=np.int64)
+        resident = codes < RARE
+        return np.where(resident, self.counts[np.where(resident, codes, np.uint64(0))], 0)
+
+
+class Spread:
+    """The shard of a run: by its middle word, and by the word before where the middle is frequent."""
+
+    def __init__(self, shards, words, ways):
+        order = np.argsort(np.array(words, dtype=np.uint64))
+        self.shards = shards
+        self.words = np.array(words, dtype=np.uint64)[order]
+        self.ways = np.array(ways, dtype=np.int64)[order]
+
+    def is_wide(self, codes):
+        return np.isin(codes, self.words)
+
+    def first(self, codes):
+        return (mix(codes) % np.uint64(self.shards)).astype(np.int64)
+
+    def shard(self, middle, before):
+        shard = self.first(middle)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, middle), len(self.words) - 1)
+            wide = np.flatnonzero(self.words[at] == middle)
+            way = mix(before[wide] ^ np.uint64(0x5851F42D4C957F2D)) % self.ways[at[wide]].astype(
+                np.uint64)
+            shard[wide] = (shard[wide] + way.astype(np.int64)) % self.shards
+        return shard
+
+
+def packed(*arrays):
+    """Arrays as one compressed byte string, byte by byte of their numbers."""
+    head = struct.pack("<B", len(arrays)) + b"".join(
+        struct.pack("<2sI", a.dtype.str[1:].encode(), len(a)) for a in arrays)
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+              for a in arrays)
+    return zstandard.compress(head + b"".join(planes), 1)
+
+
+def unpacked(data):
+    data = zstandard.decompress(data)
+    at, out = 1 + 6 * data[0], []
+    for i in range(data[0]):
+        kind, n = struct.unpack_from("<2sI", data, 1 + 6 * i)
+        kind = np.dtype("<" + kind.decode())
+        planes = np.frombuffer(data, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * kind.itemsize
+    return out
+
+
+def new_runs(*columns):
+    """Where a row of sorted columns differs from the one before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    if len(new):
+        new[1:] = False
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+    return new
+
+
+def summed(counts, at):
+    return np.add.reduceat(counts, at) if len(at) else counts[:0]
+
+
+def contexts_of(codes, bounds, end):
+    """The two tokens before each token; a text's first token follows two ends."""
+    before, second = np.empty_like(codes), np.empty_like(codes)
+    before[1:], second[2:] = codes[:-1], codes[:-2]
+    firsts = bounds[:-1]
+    before[firsts] = second[firsts] = end
+    longer = firsts[np.diff(bounds) > 1] + 1
+    second[longer] = end
+    return before, second
+
+
+def frequent_pairs(docs, known, wide):
+    """``word, next, count`` of pairs whose first word is one of the codes ``wide``."""
+    def run(batches):
+        end, words, held, size = known.value.code(np.array([END]))[0], wide.value, [], 0
+
+        def out():
+            first, second, n = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((second, first))
+            first, second = first[order], second[order]
+            at = np.flatnonzero(new_runs(first, second))
+            n = summed(n[order], at)
+            for lo in range(0, len(at), 100_000):
+                rows = at[lo:lo + 100_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first[rows].view(np.int64)), pa.array(second[rows].view(np.int64)),
+                     pa.array(n[lo:lo + 100_000])], names=["word", "next", "count"])
 
+        for batch in batches:
+            for _, tokens, bounds in token_stream(batch.column("text")):
+                codes = known.value.code(tokens)
+                before = contexts_of(codes, bounds, end)[0]
+                mine = np.isin(before, words)
+                held.append((before[mine], codes[mine], np.ones(mine.sum(), dtype=np.int64)))
+                size += len(held[-1][0])
+                if size > HELD:
+                    yield from out()
+                    held, size = [], 0
+        if held:
+            yield from out()
+
+    counted = docs.select("text").mapInArrow(
+        tidy(run), "word bigint, next bigint, count bigint")
+    return counted.groupBy("word", "next").agg(F.sum("count").alias("count"))
+
+
+_SENT = "shard int, kind int, data binary"
+_SENT_NAMES = ["shard", "kind", "data"]
+PAIRS, RUNS, HEADS = 0, 1, 2
 
-def pair_codes(classes, bounds, size):
-    """Context and class of every token as one code; a text's first token follows an end."""
-    before = np.empty_like(classes)
-    before[1:] = classes[:-1]
-    return before * size + classes, bounds[:-1]
 
+def sent(shards, kind, data):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shards, pa.int32()), pa.array([kind] * len(shards), pa.int32()),
+         pa.array(data, pa.binary())], names=_SENT_NAMES)
 
-def pair_counts(docs, shared, end_class):
-    """``code, count`` of class pairs over the rows' texts."""
+
+def send_pairs(spread):
+    """Pairs of frequent words, to each shard that such a word is spread over."""
     def run(batches):
-        known = shared.value
-        size, sums = known.other + 1, Sums()
+        shards, data = [], []
         for batch in batches:
-            for _, tokens, bounds in token_stream(batch.column("text")):
-                classes = known.look_up(tokens)[2]
-                codes, firsts = pair_codes(classes, bounds, size)
-                codes[firsts] = end_class * size + classes[firsts]
-                sums.add(codes.astype(np.uint64))
-            yield from sums.batches(["code", "count"], False)
-        yield from sums.batches(["code", "count"], True)
+            word, after = (np.asarray(batch.column(c)).view(np.uint64) for c in ("word", "next"))
+            count = np.asarray(batch.column("count"))
+            for at, code in enumerate(spread.value.words):
+                mine = np.flatnonzero(word == code)
+                if len(mine):
+                    block = packed(word[mine], after[mine], count[mine])
+                    first = spread.value.first(word[mine[:1]])[0]
+                    for way in range(spread.value.ways[at]):
+                        shards.append(int((first + way) % spread.value.shards))
+                        data.append(block)
+                        if len(data) == 100:
+                            yield sent(shards, PAIRS, data)
+                            shards, data = [], []
+        if data:
+            yield sent(shards, PAIRS, data)
 
-    counted = docs.select("text").mapInArrow(run, "code bigint, count bigint")
-    return counted.groupBy("code").agg(F.sum("count").alias("count"))
+    return run
 
 
-def quantise(logs):
+def send_runs(known, spread, base_of):
+    """Every text's runs of three words, packed per chunk of texts and shard, and a chunk's heads:
+    per document its id, tokens and what resident words give to the base."""
+    def run(batches):
+        residents, to = known.value, spread.value
+        end = residents.code(np.array([END]))[0]
+        uid = TaskContext.get().partitionId() << 40
+        held, size, docs = [], 0, 0
+
+        def out(begin):
+            w, v, u, doc, learned = (np.concatenate(x) for x in zip(*held))
+            # One number orders the runs: words by their rank in this chunk.
+            names, where = np.unique(np.concatenate([v, u, w]), return_inverse=True)
+            bits = max(1, int(len(names)).bit_length())
+            m = len(w)
+            key = (where[:m] << (2 * bits)) | (where[m:2 * m] << bits) | where[2 * m:]
+            order = np.argsort(key, kind="stable")
+            order = order[np.argsort(to.shard(v, u)[order], kind="stable")]
+            key, doc = key[order], doc[order]
+            at = np.flatnonzero(new_runs(key, doc))
+            times = np.diff(np.append(at, m)).astype(np.uint32)
+            order, doc = order[at], doc[at]
+            v, u, w, learned = v[order], u[order], w[order], learned[order]
+            shard = to.shard(v, u)
+            cuts = np.append(np.flatnonzero(new_runs(shard)), len(shard))
+            own = np.array([begin], dtype=np.int64)
+            shards, data = [], []
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                shards.append(int(shard[lo]))
+                data.append(packed(own, v[lo:hi], u[lo:hi], w[lo:hi], doc[lo:hi], times[lo:hi],
+                                   learned[lo:hi]))
+                if len(data) == 200:
+                    yield sent(shards, RUNS, data)
+                    shards, data = [], []
+            if data:
+                yield sent(shards, RUNS, data)
+
+        for batch in batches:
+            ids = batch.column("doc_id")
+            trains = np.asarray(batch.column("learned").cast(pa.uint8()))
+            for first, tokens, bounds in token_stream(batch.column("text")):
+                codes = residents.code(tokens)
+                v, u = contexts_of(codes, bounds, end)
+                n, lengths = len(bounds) - 1, np.diff(bounds)
+                counts = residents.count(codes)
+                mine = ids.slice(first, n)
+                base = np.where(counts > 0, base_of(counts), 0.0)
+                yield sent([(uid + docs) % to.shards], HEADS, [packed(
+                    np.arange(uid + docs, uid + docs + n),
+                    np.asarray(mine.fill_null(0)), np.asarray(mine.is_valid().cast(pa.uint8())),
+                    lengths, summed((counts > 0).astype(np.int64), bounds[:-1]),
+                    summed(base, bounds[:-1]))])
+                doc = np.repeat(np.arange(docs, docs + n, dtype=np.uint32), lengths)
+                learned = np.repeat(trains[first:first + n], lengths)
+                for lo in range(0, len(codes), CHUNK_TOKENS):
+                    part = slice(lo, lo + CHUNK_TOKENS)
+                    if size + len(codes[part]) > CHUNK_TOKENS and size:
+                        yield from out(uid)
+                        held, size = [], 0
+                    held.append((codes[part], v[part], u[part], doc[part], learned[part]))
+                    size += len(codes[part])
+                docs += n
+                if docs > DOCUMENTS or size == CHUNK_TOKENS:
+                    yield from out(uid)
+                    held, size, uid, docs = [], 0, uid + docs, 0
+        if held:
+            yield from out(uid)
+
+    return run
+
+
+def quantise(shares):
     steps = (1 << BITS) - 1
-    return np.clip(np.round((logs / LEAST) * steps), 0, steps).astype(np.uint64)
+    with np.errstate(divide="ignore"):
+        return np.clip(np.round(np.log10(shares) / LEAST * steps), 0, steps).astype(np.uint64)
 
 
-def dequantise(values):
-    return values.astype(np.float64) * (LEAST / ((1 << BITS) - 1))
+_SHARES = 10.0 ** (np.arange(1 << BITS) * (LEAST / ((1 << BITS) - 1)))
 
 
-def trie_levels(pairs, size, class_share, discount):
-    """``range, levels, contexts, spare``: one encoded piece of the trie per range of contexts.
+class Shard:
+    """A shard of the trie: words, middle words, pairs after them, contexts, runs."""
 
-    ``spare`` is, per context, the share that seen successors leave to all classes.
-    """
-    width = -(-size // RANGES)
-
-    def build(frame):
-        frame = frame.sort_values("code")
-        codes = frame["code"].to_numpy().astype(np.int64)
-        counts = frame["count"].to_numpy().astype(np.float64)
-        context, successor = codes // size, codes % size
-        names, where = np.unique(context, return_inverse=True)
-        total = np.bincount(where, weights=counts)
-        spare = discount * np.bincount(where) / total
-        p = (counts - discount) / total[where] + spare[where] * class_share[successor]
-        low = int(frame["range"].iloc[0]) * width
-        levels = Levels.encode((codes - low * size).astype(np.uint64), quantise(np.log10(p)),
-                               width * size, BITS)
-        return pd.DataFrame({"range": [int(frame["range"].iloc[0])], "levels": [levels],
-                             "contexts": [names.tolist()], "spare": [spare.tolist()]})
-
-    ranged = pairs.withColumn("range", F.floor(F.col("code") / (size * width)).cast("int"))
-    return ranged.groupBy("range").applyInPandas(
-        build, "range int, levels binary, contexts array<bigint>, spare array<double>")
-
-
-class Model:
-    """The trie as a task reads it."""
-
-    def __init__(self, pieces, size, class_share):
-        self.size, self.width = size, -(-size // RANGES)
-        self.class_log = np.log10(class_share)
-        spare = np.ones(size)
-        self.levels = {}
-        for number, levels, contexts, left in pieces:
-            spare[contexts] = left
-            self.levels[number] = Levels(self._mapped(levels))
-        self.spare_log = np.log10(spare)
+    def __init__(self, data):
+        words, middles, spare, after, contexts, runs = split(np.frombuffer(data, dtype=np.uint8))
+        self.words, self.middles, self.spare = words.view(np.uint64), Sequence(middles), spare
+        self.after, self.contexts, self.runs = (Level(x, BITS) for x in (after, contexts, runs))
 
     @staticmethod
-    def _mapped(data):
-        """The bytes in a file that is mapped and already unlinked."""
-        with tempfile.TemporaryFile() as file:
-            file.write(data)
-            file.flush()
-            return mmap.mmap(file.fileno(), len(data), access=mmap.ACCESS_READ)
-
-    def log10(self, codes):
-        """log10 probability of each pair of classes."""
-        context, successor = codes // self.size, codes % self.size
-        out = self.spare_log[context] + self.class_log[successor]
-        ranges = context // self.width
-        for number in np.unique(ranges).tolist():
-            if number in self.levels:
-                mine = np.flatnonzero(ranges == number)
-                present, value = self.levels[number].find(
-                    (codes[mine] - number * self.width * self.size).astype(np.uint64))
-                out[mine[present]] = dequantise(value[present])
-        return out
+    def encode(v, u, w, n, pairs, wide):
+        """From sorted distinct runs with counts, and the ``pairs`` of words for which ``wide``."""
+        own = ~wide(v)
+        pair_v, pair_w, pair_n = (np.concatenate([x[own], y]) for x, y in zip((v, w, n), pairs))
+        order = np.lexsort((pair_w, pair_v))
+        pair_v, pair_w, pair_n = pair_v[order], pair_w[order], pair_n[order]
+        at = np.flatnonzero(new_runs(pair_v, pair_w))
+        pair_v, pair_w, pair_n = pair_v[at], pair_w[at], summed(pair_n, at)
+        words = np.unique(np.concatenate([pair_v, pair_w, u, w]))
+        size = len(words)
+
+        def shares(parent, counts, parents):
+            """Discounted share of each row, and what each parent has left."""
+            total = np.bincount(parent, weights=counts, minlength=parents)
+            left = DISCOUNT * np.bincount(parent, minlength=parents) / total
+            return quantise((counts - DISCOUNT) / total[parent]), quantise(left)
+
+        new = new_runs(pair_v)
+        middles, middle = np.searchsorted(words, pair_v[new]), np.cumsum(new) - 1
+        after, spare = shares(middle, pair_n, len(middles))
+        new = new_runs(v, u)
+        context_v = np.searchsorted(pair_v[new_runs(pair_v)], v[new])
+        context, contexts = np.cumsum(new) - 1, int(new.sum())
+        after_two, spare_two = shares(context, n, contexts)
+        return join([
+            words.tobytes(), Sequence.encode(middles, size + 1), pack_bits(spare, BITS),
+            Level.encode(len(middles), middle, np.searchsorted(words, pair_w), after, BITS),
+            Level.encode(len(middles), context_v, np.searchsorted(words, u[new]), spare_two, BITS),
+            Level.encode(contexts, context, np.searchsorted(words, w), after_two, BITS)])
+
+    def _ids(self, codes):
+        """Numbers of words in this shard, -1 for others."""
+        at = np.minimum(np.searchsorted(self.words, codes), len(self.words) - 1)
+        return np.where(self.words[at] == codes, at, -1)
+
+    def look_up(self, v, u, w):
+        """``(a, b)`` of each run: its probability is ``a + b * p1(w)``."""
+        a, b = np.zeros(len(v)), np.ones(len(v))
+        if not len(self.words):
+            return a, b
+        v, u, w = self._ids(v), self._ids(u), self._ids(w)
+        names, where = np.unique(v, return_inverse=True)
+        present, place = self.middles.find(names)
+        left = np.where(present, _SHARES[take_bits(self.spare, BITS, place)], 1.0)
+        b, middle = left[where], np.where(present, place, -1)[where]
+        rows = np.flatnonzero((middle >= 0) & (w >= 0))
+        present, place = self.after.find(middle[rows], w[rows])
+        a[rows[present]] = _SHARES[self.after.value(place[present])]
+        # Contexts of two words, each looked up once.
+        rows = np.flatnonzero((middle >= 0) & (u >= 0))
+        size = len(self.words)
+        names, where = np.unique(middle[rows] * size + u[rows], return_inverse=True)
+        present, place = self.contexts.find(names // size, names % size)
+        left = np.where(present, _SHARES[self.contexts.value(place)], 1.0)[where]
+        a[rows] *= left
+        b[rows] *= left
+        context = np.where(present, place, -1)[where]
+        found = (context >= 0) & (w[rows] >= 0)
+        rows, context = rows[found], context[found]
+        present, place = self.runs.find(context, w[rows])
+        a[rows[present]] += _SHARES[self.runs.value(place[present])]
+        return a, b
+
+
+def mapped(data):
+    """The bytes in a file that is mapped and already unlinked."""
+    with tempfile.TemporaryFile() as file:
+        file.write(data)
+        file.flush()
+        return mmap.mmap(file.fileno(), len(data), access=mmap.ACCESS_READ)
+
+
+class Builder:
+    """Counts of a shard's runs, merged as chunks come; the chunks are kept for the look-up."""
+
+    def __init__(self):
+        self.pairs, self.held, self.size = [], [], 0
+        self.chunks = tempfile.SpooledTemporaryFile(max_size=KEPT)
+
+    def add(self, kind, data):
+        if kind == PAIRS:
+            self.pairs.append(unpacked(data))
+            return
+        self.chunks.write(struct.pack("<q", len(data)) + data)
+        _, v, u, w, _, times, learned = unpacked(data)
+        mine = learned > 0
+        self.held.append((v[mine], u[mine], w[mine], times[mine].astype(np.int64)))
+        self.size += len(v)
+        if self.size > 2 * HELD:
+            self.merge()
+
+    def merge(self):
+        none = np.zeros(0, dtype=np.uint64)
+        v, u, w, n = (np.concatenate(x) for x in zip(
+            (none, none, none, none.astype(np.int64)), *self.held))
+        order = np.lexsort((w, u, v))
+        v, u, w = v[order], u[order], w[order]
+        at = np.flatnonzero(new_runs(v, u, w))
+        self.held, self.size = [(v[at], u[at], w[at], summed(n[order], at))], len(at) // 2
+        return self.held[0]
+
+    def shard(self, wide):
+        none = np.zeros(0, dtype=np.uint64)
+        pairs = [np.concatenate(x) for x in zip(
+            (none, none, none.astype(np.int64)), *self.pairs)]
+        data = Shard.encode(*self.merge(), pairs, wide)
+        self.held, self.pairs = [], []
+        return Shard(mapped(data))
+
+    def batches(self):
+        """The chunks' columns, some chunks at a time, with documents' numbers in full."""
+        self.chunks.seek(0)
+        parts, size = [], 0
+        while head := self.chunks.read(8):
+            begin, v, u, w, doc, times, _ = unpacked(self.chunks.read(*struct.unpack("<q", head)))
+            parts.append((v, u, w, begin[0] + doc.astype(np.int64), times.astype(np.int64)))
+            size += len(v)
+            if size > LOOKED_UP:
+                yield [np.concatenate(x) for x in zip(*parts)]
+                parts, size = [], 0
+        if parts:
+            yield [np.concatenate(x) for x in zip(*parts)]
 
 
 _PARTS = "uid bigint, doc_id bigint, word bigint, n bigint, tokens bigint, known bigint, " \
-         "base double, score double"
+         "base double, score double, a double, b double"
+_PART_NAMES = [field.split()[0] for field in _PARTS.split(", ")]
+_PART_TYPES = [pa.float64() if "double" in field else pa.int64() for field in _PARTS.split(", ")]
+
 
+def part(size, **columns):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[name], kind, mask=columns.get(name + "_null")) if name in columns
+         else pa.nulls(size, kind) for name, kind in zip(_PART_NAMES, _PART_TYPES)], names=_PART_NAMES)
 
-def _per_document(shared_classes, shared_model, end_class, base_of, other_of):
-    """Reader of texts: one row per document with what resident words and classes give, and one
-    per rarer word of it with its number there."""
+
+def score_shards(known, spread, first_order):
+    """Reader of what the shards were sent, shard by shard: per document its head, what resident
+    words score, and a row per rarer word and its ``a, b``."""
     def run(batches):
-        known, model = shared_classes.value, Model(*shared_model.value)
-        size, uid = known.other + 1, TaskContext.get().partitionId() << 40
+        residents, wide = known.value, spread.value.is_wide
+        sums = {}
+
+        def scored(builder):
+            shard = builder.shard(wide)
+            for v, u, w, uid, n in builder.batches():
+                a, b = shard.look_up(v, u, w)
+                counts = residents.count(w)
+                mine = counts > 0
+                own = n[mine] * np.log10(a[mine] + b[mine] * first_order(counts[mine]))
+                uids, where = np.unique(uid[mine], return_inverse=True)
+                for doc, value in zip(uids.tolist(), np.bincount(where, weights=own).tolist()):
+                    sums[doc] = sums.get(doc, 0.0) + value
+                rare = np.flatnonzero(~mine)
+                for lo in range(0, len(rare), 50_000):
+                    rows = rare[lo:lo + 50_000]
+                    yield part(len(rows), uid=uid[rows], word=(w[rows] ^ RARE).view(np.int64),
+                               n=n[rows], a=a[rows], b=b[rows])
+                if len(sums) > DOCUMENTS:
+                    yield from totals()
+
+        def totals():
+            uids, values = np.array(list(sums), dtype=np.int64), np.array(list(sums.values()))
+            sums.clear()
+            for lo in range(0, len(uids), 50_000):
+                # These rows have a word that spreads them over the join's tasks.
+                mine = uids[lo:lo + 50_000]
+                yield part(len(mine), uid=mine, word=mine, score=values[lo:lo + 50_000])
+
+        current, builder = None, None
         for batch in batches:
-            doc_ids = batch.column("doc_id")
-            for first, tokens, bounds in token_stream(batch.column("text")):
-                resident, counts, classes = known.look_up(tokens)
-                codes, firsts = pair_codes(classes, bounds, size)
-                codes[firsts] = end_class * size + classes[firsts]
-                distinct, where = np.unique(codes, return_inverse=True)
-                score = model.log10(distinct)[where]
-                score[resident & (classes == known.other)] += other_of(
-                    counts[resident & (classes == known.other)])
-                base = np.where(resident, base_of(counts), 0.0)
-                n = len(bounds) - 1
-                sums = [np.add.reduceat(x, bounds[:-1]) for x in (
-                    resident.astype(np.int64), base, score)]
-                uids = uid + np.arange(n)
-                doc = np.repeat(np.arange(n), np.diff(bounds))[~resident]
-                rare = tokens[~resident]
-                order = np.lexsort((rare, doc))
-                doc, rare = doc[order], rare[order]
-                new = np.ones(len(rare), dtype=bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])
-                at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(rare)))
-                doc, rare = doc[at], rare[at]
-                none = pa.nulls(len(rare), pa.int64())
-                # The document's own row has a word that spreads these rows over the join's tasks.
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(uids), doc_ids.slice(first, n), pa.array(uids), pa.nulls(n, pa.int64()),
-                    pa.array(np.diff(bounds)), *map(pa.array, sums)], names=names)
-                for lo in range(0, len(rare), 100_000):
-                    part = slice(lo, lo + 100_000)
-                    m = len(rare[part])
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(uids[doc[part]]), none[:m], pa.array(rare[part].view(np.int64)),
-                        pa.array(times[part]), none[:m], none[:m],
-                        pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names=names)
-                uid += n
-
-    names = [field.split()[0] for field in _PARTS.split(", ")]
+            for number, kind, data in zip(*(batch.column(c).to_pylist() for c in _SENT_NAMES)):
+                if kind == HEADS:
+                    uid, doc_id, valid, tokens, resident, base = unpacked(data)
+                    yield part(len(uid), uid=uid, doc_id=doc_id, doc_id_null=valid == 0, word=uid,
+                               tokens=tokens, known=resident, base=base)
+                    continue
+                if number != current:
+                    if builder:
+                        yield from scored(builder)
+                    current, builder = number, Builder()
+                builder.add(kind, data)
+        if builder:
+            yield from scored(builder)
+        yield from totals()
+
     return run
 
 
-def score_documents(docs, training, resident=RESIDENT, classes=CLASSES, doc_id="doc_id",
-                    text="text"):
+def score_documents(docs, training, resident=RESIDENT, shard=SHARD, doc_id="doc_id", text="text"):
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
     ``training`` is a condition on ``doc_id``; rows for which it is not true are held out.
@@ -288,51 +577,62 @@ def score_documents(docs, training, resident=RESIDENT, classes=CLASSES, doc_id="
                            F.count_if(F.col("count") == 1).alias("once"),
                            F.count_if(F.col("count") == 2).alias("twice")).first()
     n, v = stats["n"] or 0, stats["v"]
-    most = vocabulary.orderBy(F.desc("count"), "word").limit(resident).toPandas()
-    known = Classes(most["word"], most["count"], classes)
-    size = known.other + 1
-    end_class = int(known.look_up(np.array([END]))[2][0])
-    shared = context.broadcast(known)
-
-    # Share of each class, one count added to the class of others for the unknown word.
-    own = most["count"].to_numpy()[:known.other].astype(np.float64)
-    others = n - own.sum()
-    class_share = np.append(own, others + 1) / (n + 1)
-    discount = (stats["once"] + 0.5) / (stats["once"] + 2 * stats["twice"] + 1)
-    other_words = v - known.other
-    unknown_log = float(np.log10((discount * other_words + 1) / (others + 1)))
-
-    pairs = through_table(pair_counts(learned, shared, end_class))
-    pieces = [tuple(row) for row in trie_levels(pairs, size, class_share, discount).collect()]
-    model = context.broadcast((pieces, size, class_share))
+    # At most ``resident`` words can have this share of all tokens.
+    most = vocabulary.where(F.col("count") >= F.lit(n / resident)).toPandas()
+    residents = Residents(most["word"], most["count"])
+    known = context.broadcast(residents)
+
+    shards = max(1, -(-n // shard))
+    frequent = np.flatnonzero(residents.counts > shard).astype(np.uint64)
+    words, ways = [], []
+    pairs = None
+    if len(frequent):
+        pairs = through_table(frequent_pairs(learned, known, context.broadcast(frequent)))
+        # In so many ways that copies of a word's pairs are no more than its tokens.
+        spans = pairs.groupBy("word").agg(
+            F.expr(f"least(ceil(sum(count) / {shard}), floor(sum(count) / count(*)), {shards})")
+            .cast("bigint").alias("ways")).where("ways > 1").toPandas()
+        words, ways = spans["word"].tolist(), spans["ways"].tolist()
+    spread = context.broadcast(Spread(shards, words, ways))
+
+    first_discount = (stats["once"] + 0.5) / (stats["once"] + 2 * stats["twice"] + 1)
+    unknown = (first_discount * v + 1) / (n + 1)
 
     def base_of(counts):
         return np.log10((counts + 1) / (n + v + 1))
 
-    def other_of(counts):
-        return np.log10((counts - discount) / (others + 1))
-
-    parts = plain.mapInArrow(
-        _per_document(shared, model, end_class, base_of, other_of), _PARTS)
-    rare = vocabulary.withColumnsRenamed({"word": "known_word", "count": "known_count"})
+    def first_order(counts):
+        return (counts - first_discount) / (n + 1)
+
+    blocks = plain.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learned")) \
+        .mapInArrow(tidy(send_runs(known, spread, base_of)), _SENT)
+    if words:
+        blocks = blocks.union(pairs.where(F.col("word").isin(words)).mapInArrow(
+            tidy(send_pairs(spread)), _SENT))
+    parts = blocks.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(
+        tidy(score_shards(known, spread, first_order)), _PARTS)
+
+    # A rare code has the hash without its first bit.
+    rare = vocabulary.select(
+        F.col("word").bitwiseAND(F.lit((1 << 63) - 1)).alias("known_word"),
+        F.col("count").alias("known_count")).where(F.col("known_count") < F.lit(n / resident))
     met = parts.join(rare, (F.col("word") == F.col("known_word")) & F.col("n").isNotNull(), "left")
     c = F.coalesce("known_count", F.lit(0))
-    times = F.coalesce("n", F.lit(0))
-    found = F.col("known_count").isNotNull()
-    own_score = F.when(found, F.log10((c - F.lit(discount)) / F.lit(float(others + 1)))).otherwise(
-        F.lit(unknown_log))
+    found, own = F.col("known_count").isNotNull(), F.col("n").isNotNull()
+    p1 = F.when(found, (c - F.lit(first_discount)) / F.lit(float(n + 1))).otherwise(
+        F.lit(float(unknown)))
     each = met.select(
         "uid", "doc_id", "tokens",
-        F.coalesce(F.when(F.col("n").isNull(), F.col("known")),
-                   F.when(found, F.col("n")), F.lit(0)).alias("known"),
-        F.when(F.col("n").isNull(), F.col("base")).otherwise(
-            times * F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("base"),
-        F.when(F.col("n").isNull(), F.col("score")).otherwise(times * own_score).alias("score"),
+        F.when(~own, F.col("known")).when(found, F.col("n")).otherwise(F.lit(0)).alias("known"),
+        F.when(~own, F.col("base")).otherwise(
+            F.col("n") * F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("base"),
+        F.when(~own, F.col("score")).otherwise(
+            F.col("n") * F.log10(F.col("a") + F.col("b") * p1)).alias("score"),
     )
-    summed = each.groupBy("uid").agg(
+    totals = each.groupBy("uid").agg(
         F.max("doc_id").alias("doc_id"), F.max("tokens").alias("n_tokens"),
         F.sum("known").alias("n_known"), F.sum("base").alias("base_score"),
         F.sum("score").alias("score"))
-    return summed.select(
+    return totals.select(
         "doc_id", F.coalesce(~training, F.lit(True)).alias("held_out"), "n_tokens", "n_known",
         F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -2,9 +2,7 @@
 
 import collections
 import hashlib
-import math
 import re
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -20,7 +18,6 @@ import corpus_pipeline
 from spokeframe.llm import (
     ann, chat, linededup, lm, minhash, mixing, packing, secrets, toxicity, winnow,
 )
-from spokeframe.llm.eliasfano import Levels
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SF = "/root/testdata/sf0.001"
@@ -329,37 +326,6 @@ def test_chat_texts_read_back(spark):
     assert chat.format_chats(turns.where("false")).collect() == []
 
 
-def test_lm_counts_against_brute_force(docs):
-    training = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 != 2, F.lit(True))
-    tokens = [(i, WORD.findall((t or "").translate(ASCII_LOWER)) + [None]) for i, t, *_ in ROWS]
-    count = collections.Counter()
-    for i, words in tokens:
-        if i is None or zlib.crc32(str(i).encode()) % 7 != 2:
-            count.update(words)
-    n, v = sum(count.values()), len(count)
-    want = sorted((str(i), len(w), sum(count[x] > 0 for x in w), n, round(sum(
-        math.log10((count[x] + 1) / (n + v + 1)) for x in w), 6)) for i, w in tokens)
-    for sizes in ({}, {"resident": 20, "classes": 5}):
-        got = lm.score_documents(docs, training, **sizes).collect()
-        assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens,
-                       round(r.base_score, 6)) for r in got) == want
-        assert all(r.score < 0 for r in got)
-
-
-def test_elias_fano_finds_what_is_there():
-    rng = np.random.default_rng(3)
-    for n, universe in ((0, 10), (1, 1), (500, 600), (3000, 10**9)):
-        codes = np.sort(rng.choice(universe, n, replace=False)).astype(np.uint64)
-        values = rng.integers(0, 4096, n).astype(np.uint64)
-        levels = Levels(Levels.encode(codes, values, universe, 12))
-        asked = np.concatenate([codes, rng.integers(0, universe, 200).astype(np.uint64)])
-        present, value = levels.find(asked)
-        known = dict(zip(codes.tolist(), values.tolist()))
-        assert present.tolist() == [c in known for c in asked.tolist()]
-        assert [int(x) for x, p in zip(value, present) if p] == [
-            known[c] for c in asked.tolist() if c in known]
-
-
 def test_fingerprints_meet_the_winnowing_guarantee(spark):
     shared = " ".join(f"s{i}" for i in range(winnow.W + winnow.K - 1))
     rows = [(1, "a b c " + shared + " tail"), (2, "q " + shared), (3, "other words only here ok")]
