@@ -12,7 +12,15 @@ import numpy as np
 # Numbers packed at once; a multiple of eight, so that every block ends with a byte.
 _BLOCK = 1 << 13
 
-_SIX = tuple(np.uint64(x) for x in (32, 16, 8, 4, 2, 1))
+# Masks that repeat over a 64-bit word.
+_U = tuple(np.uint64(x) for x in range(9))
+_ODD, _PAIRS, _NIBBLES, _ONES, _TOPS, _BYTE = (np.uint64(x) for x in (
+    0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F, 0x0101010101010101,
+    0x8080808080808080, 0xFF))
+
+# Place of the n-th one of a byte, at 8 * byte + n.
+_IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[n]
+                     for byte in range(256) for n in range(8)], dtype=np.int64)
 
 
 def pack_bits(values, width):
@@ -26,13 +34,12 @@ def pack_bits(values, width):
 
 def take_bits(data, width, at):
     """The packed values at the positions ``at``; widths up to 56 bits."""
-    word = np.zeros(len(at), dtype=np.uint64)
     if not width:
-        return word
+        return np.zeros(len(at), dtype=np.uint64)
     begin = at.astype(np.int64) * width
-    first = begin >> 3
-    for byte in range(min(8, (width + 7) // 8 + 1)):
-        word |= data[first + byte].astype(np.uint64) << np.uint64(8 * byte)
+    # The 64-bit word that begins with any byte.
+    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    word = words[begin >> 3]
     return (word >> (begin & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
 
 
@@ -54,15 +61,17 @@ def split(data):
 
 
 def _nth_one(words, n):
-    """Place of the n-th one (from 0) in each 64-bit word."""
-    place = np.zeros(len(words), dtype=np.uint64)
-    n = n.astype(np.int64)
-    for step in _SIX:
-        lower = np.bitwise_count((words >> place) & ((np.uint64(1) << step) - np.uint64(1)))
-        beyond = n >= lower
-        n = np.where(beyond, n - lower, n)
-        place = np.where(beyond, place + step, place)
-    return place.astype(np.int64)
+    """Place of the n-th one (from 0) in each 64-bit word: its byte by sums over all bytes at once,
+    then its place in the byte by a table."""
+    n = n.astype(np.uint64)
+    sums = words - ((words >> _U[1]) & _ODD)
+    sums = (sums & _PAIRS) + ((sums >> _U[2]) & _PAIRS)
+    sums = ((sums + (sums >> _U[4])) & _NIBBLES) * _ONES
+    # Bytes up to which there are not more than n ones.
+    place = np.bitwise_count((((n * _ONES) | _TOPS) - sums) & _TOPS).astype(np.uint64) << _U[3]
+    n -= ((sums << _U[8]) >> place) & _BYTE
+    byte = (words >> place) & _BYTE
+    return place.astype(np.int64) + _IN_BYTE[(byte << _U[3]) | n]
 
 
 class Sequence:
@@ -105,7 +114,7 @@ class Sequence:
         return zero - bucket
 
     def find(self, numbers):
-        """``(present, place)`` of each number."""
+        """``(present, place)`` of each number; quickest where they rise."""
         bucket = numbers >> self.width
         inside = (bucket >= 0) & (bucket < self.buckets)
         if not self.n or not len(numbers):
@@ -149,7 +158,9 @@ class Level:
 
     def find(self, context, successor):
         """``(present, place)`` of each successor, searched relative to its context's own begin."""
-        names, where = np.unique(context, return_inverse=True)
+        new = np.ones(len(context), dtype=bool)
+        new[1:] = context[1:] != context[:-1]
+        names, where = context[new], np.cumsum(new) - 1
         begin, end = self.pointers.get(names), self.pointers.get(names + 1)
         base = np.zeros(len(names), dtype=np.int64)
         later = np.flatnonzero(begin > 0)

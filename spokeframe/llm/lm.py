@@ -5,7 +5,7 @@ cover all training rows, every word has contexts of its own, and the trie grows
 
 * Vocabulary. Every training word with its count, summed in the tasks and then over the table.
   *Resident* words, each at least 1 in ``RESIDENT`` of all training tokens (so there are never more
-  than that, 32 MB), go to the tasks; rarer words meet their counts by a join on the word.
+  than that, 64 MB), go to the tasks; rarer words meet their counts by a join on the word.
 * Trie. ``p(w | u v)`` interpolates orders three, two and one with an absolute discount. The trie is
   cut into shards by the middle word: the shard of ``v`` has the words after ``v``, the words ``u``
   before it, and under each context ``u v`` the words that follow. These are three Elias-Fano levels
@@ -45,7 +45,7 @@ from spokeframe.llm.wordhash import chunks, hashed_words, mix
 from spokeframe.llm.workers import tidy
 from spokeframe.session import through_table
 
-RESIDENT = 1 << 21
+RESIDENT = 1 << 22
 
 # Training tokens of a shard, on average and before a word is spread over several.
 SHARD = 1 << 19
@@ -57,7 +57,8 @@ DISCOUNT = 0.75
 BITS, LEAST = 12, -12.0
 
 # Distinct words that a task sums before it passes them on, and tokens that it sends as one chunk.
-HELD, CHUNK_TOKENS = 1_000_000, 1 << 20
+HELD, CHUNK_BITS = 1_000_000, 20
+CHUNK_TOKENS = 1 << CHUNK_BITS
 
 # Runs looked up at once, documents whose sums a task holds, and bytes of a shard's chunks in memory.
 LOOKED_UP, DOCUMENTS, KEPT = 1 << 17, 1 << 20, 1 << 26
@@ -68,6 +69,9 @@ END = np.uint64(0)
 # Codes of words without a resident's number have this bit.
 RARE = np.uint64(1 << 63)
 
+# Stands for such a code among codes of 32 bits.
+_RARER = np.uint64((1 << 32) - 1)
+
 
 def token_stream(column):
     """``(first, tokens, bounds)``: hashes of texts in a row, each closed by the end token."""
@@ -190,6 +194,18 @@ def unpacked(data):
     return out
 
 
+def in_parts(codes):
+    """Codes as 32 bits each, and the rarer words' ones in full."""
+    rare = codes >= RARE
+    return np.where(rare, _RARER, codes).astype(np.uint32), codes[rare]
+
+
+def whole(low, rare):
+    codes = low.astype(np.uint64)
+    codes[low == _RARER] = rare
+    return codes
+
+
 def new_runs(*columns):
     """Where a row of sorted columns differs from the one before."""
     new = np.ones(len(columns[0]), dtype=bool)
@@ -296,26 +312,30 @@ def send_runs(known, spread, base_of):
 
         def out(begin):
             w, v, u, doc, learned = (np.concatenate(x) for x in zip(*held))
-            # One number orders the runs: words by their rank in this chunk.
-            names, where = np.unique(np.concatenate([v, u, w]), return_inverse=True)
-            bits = max(1, int(len(names)).bit_length())
-            m = len(w)
-            key = (where[:m] << (2 * bits)) | (where[m:2 * m] << bits) | where[2 * m:]
-            order = np.argsort(key, kind="stable")
-            order = order[np.argsort(to.shard(v, u)[order], kind="stable")]
-            key, doc = key[order], doc[order]
-            at = np.flatnonzero(new_runs(key, doc))
-            times = np.diff(np.append(at, m)).astype(np.uint32)
-            order, doc = order[at], doc[at]
-            v, u, w, learned = v[order], u[order], w[order], learned[order]
+            # One number sorts by shard and nearly by words, and ends with the place.
             shard = to.shard(v, u)
+            free = 63 - CHUNK_BITS - int(to.shards).bit_length()
+            of_v, of_u = free - free * 2 // 5, free * 2 // 5
+            key = shard.astype(np.uint64) << np.uint64(of_v)
+            key = (key | (mix(v) >> np.uint64(64 - of_v))) << np.uint64(of_u)
+            key = (key | (mix(u) >> np.uint64(64 - of_u))) << np.uint64(CHUNK_BITS)
+            key |= np.arange(len(w), dtype=np.uint64)
+            key.sort()
+            order = (key & np.uint64((1 << CHUNK_BITS) - 1)).astype(np.int64)
+            v, u, w, doc = v[order], u[order], w[order], doc[order]
+            at = np.flatnonzero(new_runs(v, u, w, doc))
+            times = np.diff(np.append(at, len(order))).astype(np.uint32)
+            if len(at) < len(order):
+                v, u, w, doc, order = v[at], u[at], w[at], doc[at], order[at]
+            shard, learned = shard[order], learned[order]
             cuts = np.append(np.flatnonzero(new_runs(shard)), len(shard))
             own = np.array([begin], dtype=np.int64)
             shards, data = [], []
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 shards.append(int(shard[lo]))
-                data.append(packed(own, v[lo:hi], u[lo:hi], w[lo:hi], doc[lo:hi], times[lo:hi],
-                                   learned[lo:hi]))
+                data.append(packed(
+                    own, *in_parts(v[lo:hi]), *in_parts(u[lo:hi]), *in_parts(w[lo:hi]),
+                    doc[lo:hi], times[lo:hi], learned[lo:hi]))
                 if len(data) == 200:
                     yield sent(shards, RUNS, data)
                     shards, data = [], []
@@ -365,12 +385,52 @@ def quantise(shares):
 _SHARES = 10.0 ** (np.arange(1 << BITS) * (LEAST / ((1 << BITS) - 1)))
 
 
+class Numbers:
+    """Places of codes among a shard's sorted ones: residents by a table, rarer ones by a search."""
+
+    def __init__(self, words):
+        residents = int(np.searchsorted(words, RARE))
+        self.rare, self.before = words[residents:], residents
+        self.table = np.full(int(words[residents - 1]) + 2 if residents else 1, -1, dtype=np.int32)
+        self.table[words[:residents].astype(np.int64)] = np.arange(residents, dtype=np.int32)
+
+    def of(self, codes):
+        """The place of each code, -1 for others."""
+        # The table's last entry is free and serves all codes beyond it.
+        out = self.table[np.minimum(codes, np.uint64(len(self.table) - 1)).astype(np.int64)].astype(
+            np.int64)
+        if len(self.rare):
+            rare = np.flatnonzero(codes >= RARE)
+            at = np.minimum(np.searchsorted(self.rare, codes[rare]), len(self.rare) - 1)
+            out[rare] = np.where(self.rare[at] == codes[rare], at + self.before, -1)
+        return out
+
+
+def all_words(*columns):
+    """The distinct codes of the columns, rising."""
+    rare = np.sort(np.concatenate([x[x >= RARE] for x in columns]))
+    rare = rare[new_runs(rare)]
+    columns = [x[x < RARE].astype(np.int64) for x in columns]
+    seen = np.zeros(max((int(x.max()) + 1 for x in columns if len(x)), default=0), dtype=bool)
+    for column in columns:
+        seen[column] = True
+    return np.concatenate([np.flatnonzero(seen).astype(np.uint64), rare])
+
+
+def in_order(size, v, u, w):
+    """Order of runs of words' places below ``size``, by one number where it can hold all three."""
+    if size < 1 << 21:
+        return np.argsort((v * size + u) * size + w)
+    return np.lexsort((w, u, v))
+
+
 class Shard:
     """A shard of the trie: words, middle words, pairs after them, contexts, runs."""
 
     def __init__(self, data):
         words, middles, spare, after, contexts, runs = split(np.frombuffer(data, dtype=np.uint8))
         self.words, self.middles, self.spare = words.view(np.uint64), Sequence(middles), spare
+        self.numbers = Numbers(self.words)
         self.after, self.contexts, self.runs = (Level(x, BITS) for x in (after, contexts, runs))
 
     @staticmethod
@@ -382,8 +442,8 @@ class Shard:
         pair_v, pair_w, pair_n = pair_v[order], pair_w[order], pair_n[order]
         at = np.flatnonzero(new_runs(pair_v, pair_w))
         pair_v, pair_w, pair_n = pair_v[at], pair_w[at], summed(pair_n, at)
-        words = np.unique(np.concatenate([pair_v, pair_w, u, w]))
-        size = len(words)
+        words = all_words(pair_v, pair_w, u, w)
+        size, numbers = len(words), Numbers(words)
 
         def shares(parent, counts, parents):
             """Discounted share of each row, and what each parent has left."""
@@ -392,7 +452,7 @@ class Shard:
             return quantise((counts - DISCOUNT) / total[parent]), quantise(left)
 
         new = new_runs(pair_v)
-        middles, middle = np.searchsorted(words, pair_v[new]), np.cumsum(new) - 1
+        middles, middle = numbers.of(pair_v[new]), np.cumsum(new) - 1
         after, spare = shares(middle, pair_n, len(middles))
         new = new_runs(v, u)
         context_v = np.searchsorted(pair_v[new_runs(pair_v)], v[new])
@@ -400,41 +460,43 @@ class Shard:
         after_two, spare_two = shares(context, n, contexts)
         return join([
             words.tobytes(), Sequence.encode(middles, size + 1), pack_bits(spare, BITS),
-            Level.encode(len(middles), middle, np.searchsorted(words, pair_w), after, BITS),
-            Level.encode(len(middles), context_v, np.searchsorted(words, u[new]), spare_two, BITS),
-            Level.encode(contexts, context, np.searchsorted(words, w), after_two, BITS)])
+            Level.encode(len(middles), middle, numbers.of(pair_w), after, BITS),
+            Level.encode(len(middles), context_v, numbers.of(u[new]), spare_two, BITS),
+            Level.encode(contexts, context, numbers.of(w), after_two, BITS)])
 
-    def _ids(self, codes):
-        """Numbers of words in this shard, -1 for others."""
-        at = np.minimum(np.searchsorted(self.words, codes), len(self.words) - 1)
-        return np.where(self.words[at] == codes, at, -1)
 
     def look_up(self, v, u, w):
         """``(a, b)`` of each run: its probability is ``a + b * p1(w)``."""
         a, b = np.zeros(len(v)), np.ones(len(v))
         if not len(self.words):
             return a, b
-        v, u, w = self._ids(v), self._ids(u), self._ids(w)
-        names, where = np.unique(v, return_inverse=True)
+        v, u, w = (self.numbers.of(x) for x in (v, u, w))
+        # In the trie's order, so that look-ups go through it from begin to end.
+        order = in_order(len(self.words) + 1, v + 1, u + 1, w + 1)
+        v, u, w = v[order], u[order], w[order]
+        new = new_runs(v)
+        names, where = v[new], np.cumsum(new) - 1
         present, place = self.middles.find(names)
         left = np.where(present, _SHARES[take_bits(self.spare, BITS, place)], 1.0)
-        b, middle = left[where], np.where(present, place, -1)[where]
+        own_b, middle = left[where], np.where(present, place, -1)[where]
+        own_a = np.zeros(len(v))
         rows = np.flatnonzero((middle >= 0) & (w >= 0))
         present, place = self.after.find(middle[rows], w[rows])
-        a[rows[present]] = _SHARES[self.after.value(place[present])]
+        own_a[rows[present]] = _SHARES[self.after.value(place[present])]
         # Contexts of two words, each looked up once.
         rows = np.flatnonzero((middle >= 0) & (u >= 0))
-        size = len(self.words)
-        names, where = np.unique(middle[rows] * size + u[rows], return_inverse=True)
-        present, place = self.contexts.find(names // size, names % size)
+        new = new_runs(v[rows], u[rows])
+        names, where = rows[new], np.cumsum(new) - 1
+        present, place = self.contexts.find(middle[names], u[names])
         left = np.where(present, _SHARES[self.contexts.value(place)], 1.0)[where]
-        a[rows] *= left
-        b[rows] *= left
+        own_a[rows] *= left
+        own_b[rows] *= left
         context = np.where(present, place, -1)[where]
         found = (context >= 0) & (w[rows] >= 0)
         rows, context = rows[found], context[found]
         present, place = self.runs.find(context, w[rows])
-        a[rows[present]] += _SHARES[self.runs.value(place[present])]
+        own_a[rows[present]] += _SHARES[self.runs.value(place[present])]
+        a[order], b[order] = own_a, own_b
         return a, b
 
 
@@ -446,6 +508,11 @@ def mapped(data):
         return mmap.mmap(file.fileno(), len(data), access=mmap.ACCESS_READ)
 
 
+def unpacked_runs(data):
+    begin, v, rare_v, u, rare_u, w, rare_w, doc, times, learned = unpacked(data)
+    return begin, whole(v, rare_v), whole(u, rare_u), whole(w, rare_w), doc, times, learned
+
+
 class Builder:
     """Counts of a shard's runs, merged as chunks come; the chunks are kept for the look-up."""
 
@@ -458,7 +525,7 @@ class Builder:
             self.pairs.append(unpacked(data))
             return
         self.chunks.write(struct.pack("<q", len(data)) + data)
-        _, v, u, w, _, times, learned = unpacked(data)
+        _, v, u, w, _, times, learned = unpacked_runs(data)
         mine = learned > 0
         self.held.append((v[mine], u[mine], w[mine], times[mine].astype(np.int64)))
         self.size += len(v)
@@ -469,7 +536,9 @@ class Builder:
         none = np.zeros(0, dtype=np.uint64)
         v, u, w, n = (np.concatenate(x) for x in zip(
             (none, none, none, none.astype(np.int64)), *self.held))
-        order = np.lexsort((w, u, v))
+        words = all_words(v, u, w)
+        numbers = Numbers(words)
+        order = in_order(len(words), *(numbers.of(x) for x in (v, u, w)))
         v, u, w = v[order], u[order], w[order]
         at = np.flatnonzero(new_runs(v, u, w))
         self.held, self.size = [(v[at], u[at], w[at], summed(n[order], at))], len(at) // 2
@@ -488,7 +557,8 @@ class Builder:
         self.chunks.seek(0)
         parts, size = [], 0
         while head := self.chunks.read(8):
-            begin, v, u, w, doc, times, _ = unpacked(self.chunks.read(*struct.unpack("<q", head)))
+            begin, v, u, w, doc, times, _ = unpacked_runs(
+                self.chunks.read(*struct.unpack("<q", head)))
             parts.append((v, u, w, begin[0] + doc.astype(np.int64), times.astype(np.int64)))
             size += len(v)
             if size > LOOKED_UP:

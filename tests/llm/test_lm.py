@@ -157,7 +157,7 @@ def test_long_texts_in_chunks_and_small_limits(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     want = {r.doc_id: r for r in lm.score_documents(docs, F.expr(TRAINING)).collect()}
     # In one process: the functions of tasks, with limits that split texts, sums and look-ups.
-    for name, value in (("CHUNK_TOKENS", 64), ("DOCUMENTS", 3), ("LOOKED_UP", 50), ("HELD", 30),
+    for name, value in (("CHUNK_TOKENS", 64), ("CHUNK_BITS", 6), ("DOCUMENTS", 3), ("LOOKED_UP", 50), ("HELD", 30),
                         ("KEPT", 100)):
         monkeypatch.setattr(lm, name, value)
     stream = small_run(rows)
