@@ -10,8 +10,9 @@ cover all training rows, every word has contexts of its own, and the trie grows
   cut into shards by the middle word: the shard of ``v`` has the words after ``v``, the words ``u``
   before it, and under each context ``u v`` the words that follow. These are three Elias-Fano levels
   with monotone pointers and quantised discounted shares, searched in a memory-mapped file of the task
-  that built them. A word with more than ``SHARD`` tokens is spread over shards by ``u``; the words
-  after it are then summed beforehand and given to each of them.
+  that built them. A word with more than ``WIDE`` tokens is spread over shards by ``u``; the words
+  after it are then summed beforehand and given to each of them. So a task holds some millions of runs
+  at most, or the distinct words after one word where these are more.
 * Scoring. Each task sends a chunk's runs of three words to their shards as packed columns, once for
   counts and scores alike. A shard's task reads its chunks one after the other, first to build the
   shard, then to look up their runs; it holds one shard, and keeps more than ``KEPT`` bytes of chunks
@@ -47,8 +48,8 @@ from spokeframe.session import through_table
 
 RESIDENT = 1 << 22
 
-# Training tokens of a shard, on average and before a word is spread over several.
-SHARD = 1 << 19
+# Training tokens of a shard on average, and of a word before it is spread over several shards.
+SHARD, WIDE = 1 << 19, 1 << 21
 
 # What orders three and two take off each count.
 DISCOUNT = 0.75
@@ -633,7 +634,8 @@ def score_shards(known, spread, first_order):
     return run
 
 
-def score_documents(docs, training, resident=RESIDENT, shard=SHARD, doc_id="doc_id", text="text"):
+def score_documents(docs, training, resident=RESIDENT, shard=SHARD, wide=WIDE, doc_id="doc_id",
+                    text="text"):
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
     ``training`` is a condition on ``doc_id``; rows for which it is not true are held out.
@@ -653,14 +655,14 @@ def score_documents(docs, training, resident=RESIDENT, shard=SHARD, doc_id="doc_
     known = context.broadcast(residents)
 
     shards = max(1, -(-n // shard))
-    frequent = np.flatnonzero(residents.counts > shard).astype(np.uint64)
+    frequent = np.flatnonzero(residents.counts > wide).astype(np.uint64)
     words, ways = [], []
     pairs = None
     if len(frequent):
         pairs = through_table(frequent_pairs(learned, known, context.broadcast(frequent)))
         # In so many ways that copies of a word's pairs are no more than its tokens.
         spans = pairs.groupBy("word").agg(
-            F.expr(f"least(ceil(sum(count) / {shard}), floor(sum(count) / count(*)), {shards})")
+            F.expr(f"least(ceil(sum(count) / {wide}), floor(sum(count) / count(*)), {shards})")
             .cast("bigint").alias("ways")).where("ways > 1").toPandas()
         words, ways = spans["word"].tolist(), spans["ways"].tolist()
     spread = context.broadcast(Spread(shards, words, ways))

@@ -113,7 +113,7 @@ def made_rows():
 
 
 @pytest.mark.parametrize("sizes", [
-    {}, {"resident": 20, "shard": 40}, {"resident": 4, "shard": 10**6}, {"resident": 300, "shard": 300}])
+    {}, {"resident": 20, "shard": 40, "wide": 40}, {"resident": 4, "shard": 10**6}, {"resident": 300, "shard": 300, "wide": 150}])
 def test_scores_against_plain_counts(spark, sizes):
     rows = made_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -147,7 +147,7 @@ def test_frequent_words_are_spread(spark, monkeypatch):
     seen = []
     send = lm.send_pairs
     monkeypatch.setattr(lm, "send_pairs", lambda spread: seen.append(spread.value) or send(spread))
-    lm.score_documents(docs, F.lit(True), shard=40).collect()
+    lm.score_documents(docs, F.lit(True), shard=40, wide=40).collect()
     assert len(seen[0].words) and seen[0].ways.max() > 1
     assert len(seen[0].words) == len(seen[0].ways) and seen[0].ways.max() <= seen[0].shards
 
