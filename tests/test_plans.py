@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from spokeframe.operators import dead_trips as dead
 from spokeframe.operators import drift, fleet
 from spokeframe.plans import fixtures
 from spokeframe.plans.catalog import QUERIES
@@ -134,3 +135,20 @@ def test_a_cluster_without_a_shared_folder_is_an_error(master):
 
 def test_one_process_may_use_a_temporary_folder():
     assert choose_root(None, "local[4]") != choose_root(None, "local[4]")
+
+
+@pytest.mark.parametrize("name", ["pair_matrix", "dead_trips", "trip_lines"])
+def test_pairs_are_not_shuffled(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    # The join on the blocks alone makes the pairs; nothing is dealt out above it.
+    above = re.split(r"ShuffledHashJoin \[row#\d+, column#\d+\], \[row#\d+, column#\d+\], Inner", plan)[0]
+    assert above != plan and "Exchange" not in above and "Sort" not in above
+
+
+def test_long_lists_are_cut_into_no_more_blocks_than_tasks_need(spark, monkeypatch):
+    monkeypatch.setattr(dead, "BLOCK_SIDE", 1)
+    monkeypatch.setattr(dead, "BLOCKS_PER_ROOT", 2)
+    points = spark.range(500).selectExpr("cast(id as int) id", "concat('s', id) name")
+    # Eight partitions: six blocks a side, not five hundred.
+    assert dead._starts(points).count() == 6 * 500
+    assert dead.possible_trips(points).distinct().count() == 500 * 500
