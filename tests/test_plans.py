@@ -152,3 +152,11 @@ def test_long_lists_are_cut_into_no_more_blocks_than_tasks_need(spark, monkeypat
     # Eight partitions: six blocks a side, not five hundred.
     assert dead._starts(points).count() == 6 * 500
     assert dead.possible_trips(points).distinct().count() == 500 * 500
+
+
+def test_draws_are_made_behind_the_shuffle_of_recorded_ends(spark, sf_dir):
+    """Not where starts are few: all draws were made by the one task that held the starts."""
+    plan = plan_of(QUERIES["dead_trips_sample"](spark, sf_dir))
+    above = re.split(r"Exchange hashpartitioning\(start_station_name#\d+, \d+\), REPARTITION_BY_NUM", plan)[0]
+    below = plan[len(above):]
+    assert below and "explode(array_distinct" in above and "explode(array_distinct" not in below
