@@ -9,6 +9,7 @@ from spokeframe.operators import drift, fleet
 from spokeframe.plans import fixtures
 from spokeframe.plans.catalog import QUERIES
 from spokeframe.session import choose_root, shared_folder
+from spokeframe.sources import trips
 from spokeframe.sources.trips import read_trips_csv
 
 
@@ -154,6 +155,15 @@ def test_long_lists_are_cut_into_no_more_blocks_than_tasks_need(spark, monkeypat
     assert dead.possible_trips(points).distinct().count() == 500 * 500
 
 
+def test_calendar_parts_follow_the_shuffle_to_the_months(spark, tmp_path, monkeypatch):
+    """The table of months is gathered on the columns that the parts follow from."""
+    gathered = []
+    keep = trips._gathered
+    monkeypatch.setattr(trips, "_gathered", lambda df: gathered.append(df.columns) or keep(df))
+    trips.write_raw_trips(fixtures.raw_trips(spark, "/root/testdata/sf0.001"), str(tmp_path / "t"))
+    assert sorted(gathered[0]) == sorted([*trips.BARE, "start_year", "start_month"])
+
+
 def test_draws_are_made_behind_the_shuffle_of_recorded_ends(spark, sf_dir):
     """Not where starts are few: all draws were made by the one task that held the starts."""
     plan = plan_of(QUERIES["dead_trips_sample"](spark, sf_dir))
