@@ -7,9 +7,11 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from spokeframe.operators import drift
+from spokeframe.operators import drift, prepare
 from spokeframe.operators.prepare import prepare_trips
+from spokeframe.plans import fixtures
 from spokeframe.schemas import STATIONS, TRIPS
+from spokeframe.session import through_table
 from spokeframe.sources import listing, stations, trips, weather
 
 OLD_FILE = """Rental Id,Duration,Bike Id,End Date,EndStation Id,EndStation Name,Start Date,StartStation Id,StartStation Name
@@ -253,3 +255,37 @@ def test_views(spark, sf_dir):
     trips.register_views(fixtures.trips(spark, sf_dir), fixtures.stations(spark, sf_dir))
     assert spark.sql("SELECT count(*) FROM trips").first()[0] > 0
     assert spark.sql("SELECT count(*) FROM bike_points").first()[0] > 0
+
+
+def test_raw_files_may_be_compressed(spark, sf_dir, folder, monkeypatch):
+    monkeypatch.setattr(trips, "PACKED_ROWS", 700)
+    raw = prepare.rename_raw(fixtures.raw_trips(spark, sf_dir))
+    trips.write_trips_csv(raw, folder, compression="gzip")
+    read = trips.read_trips_csv(spark, folder)
+    assert all(f.endswith(".csv.gz") for f in read.inputFiles())
+    assert len(read.inputFiles()) >= raw.count() / 700
+    named = prepare.rename_raw(read).select(*raw.columns)
+    assert named.exceptAll(raw).isEmpty() and raw.exceptAll(named).isEmpty()
+
+
+@pytest.mark.parametrize("part_rows", [1 << 20, 10])
+def test_merging_shuffles_once_and_writes_no_copy(spark, tmp_path, monkeypatch, part_rows):
+    """A month of many rows is dealt into parts, undated trips too; copies still meet."""
+    monkeypatch.setattr(trips, "PART_ROWS", part_rows)
+    written = []
+    monkeypatch.setattr(trips, "through_table", lambda df: written.append(df) or through_table(df))
+    rows = [(i, 60, i % 3, "bad" if i % 5 == 0 else "01/02/2016 00:01", 1, "a",
+             "bad" if i % 5 == 0 else "01/02/2016 00:00", 2, None if i % 4 == 0 else "b")
+            for i in range(200)]
+    columns = ("rental_id long, duration int, bike_id int, end_date string, end_station_id long, "
+               "end_station_name string, start_date string, start_station_id long, "
+               "start_station_name string")
+    first, second = (spark.createDataFrame(part, columns) for part in (rows[:150], rows[100:]))
+    path = str(tmp_path / "table")
+    trips.write_raw_trips(first, path)
+    assert trips.read_trips(spark, path).exceptAll(prepare.prepare_trips(first)).isEmpty()
+    trips.merge_trips(spark, path, prepare.prepare_trips(second))
+    assert len(written) == 1
+    both = prepare.prepare_trips(spark.createDataFrame(rows, columns))
+    merged = trips.read_trips(spark, path)
+    assert merged.count() == 200 and merged.exceptAll(both).isEmpty()
