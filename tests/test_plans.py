@@ -155,6 +155,31 @@ def test_long_lists_are_cut_into_no_more_blocks_than_tasks_need(spark, monkeypat
     assert dead.possible_trips(points).distinct().count() == 500 * 500
 
 
+def test_a_start_meets_the_ends_of_its_block_as_one_array(spark, sf_dir, monkeypatch):
+    """Matched one by one, a pair cost the more the longer the list was."""
+    for name in ("possible_trips", "pair_matrix", "dead_trips", "trip_lines"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        above = re.split(r"ShuffledHashJoin \[row#\d+, column#\d+\], \[row#\d+, column#\d+\], Inner", plan)[0]
+        assert above != plan and "Generate inline(ends#" in above
+    monkeypatch.setattr(dead, "BLOCK_SIDE", 1)
+    monkeypatch.setattr(dead, "BLOCKS_PER_ROOT", 2)
+    points = spark.range(500).selectExpr("cast(id as int) id", "if(id < 490, concat('s', id), null) name")
+    ends = dead._ends(points, ["id"])
+    assert ends.count() == 6 * 6
+    each = ends.selectExpr("row", "inline(ends)")
+    assert each.count() == 6 * 500 and each.distinct().count() == 6 * 500
+    assert each.where("end_station_name is null").count() == 6 * 10
+    assert each.where("end_station_name <> concat('s', end_id)").count() == 0
+
+
+def test_stations_are_dealt_before_they_are_repeated(spark, sf_dir):
+    """One task repeated them for all blocks where one had read them."""
+    plan = plan_of(QUERIES["possible_trips"](spark, sf_dir))
+    repeated = plan.split("Generate explode(sequence(")[1:]
+    assert len(repeated) == 2
+    assert all("REPARTITION_BY_NUM" in below for below in repeated)
+
+
 def test_calendar_parts_follow_the_shuffle_to_the_months(spark, tmp_path, monkeypatch):
     """The table of months is gathered on the columns that the parts follow from."""
     gathered = []
