@@ -146,6 +146,19 @@ def test_pairs_are_not_shuffled(spark, sf_dir, name):
     assert above != plan and "Exchange" not in above and "Sort" not in above
 
 
+@pytest.mark.parametrize("name", ["pair_matrix", "dead_trips", "trip_lines"])
+def test_repeated_starts_are_not_broadcast(spark, sf_dir, name, monkeypatch):
+    """Repeated for the blocks, the starts were taken for as few as the stations and broadcast."""
+    plans = []
+    keep = dead.through_table
+    monkeypatch.setattr(dead, "through_table", lambda df: plans.append(plan_of(df)) or keep(df))
+    plans.append(plan_of(QUERIES[name](spark, sf_dir)))
+    assert len(plans) == 2 and "LeftAnti" in plans[1]
+    for plan in plans:
+        keys = r"Join \[start_station_name#\d+, column#\d+\]"
+        assert re.search("SortMerge" + keys, plan) and not re.search("Broadcast(?:Hash)?" + keys, plan)
+
+
 def test_long_lists_are_cut_into_no_more_blocks_than_tasks_need(spark, monkeypatch):
     monkeypatch.setattr(dead, "BLOCK_SIDE", 1)
     monkeypatch.setattr(dead, "BLOCKS_PER_ROOT", 2)
