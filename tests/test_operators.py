@@ -196,6 +196,27 @@ def test_pairs_against_brute_force(spark, sample, monkeypatch, side):
     assert dead.dead_trips_sample(trips, points, 0.0).collect() == []
 
 
+def test_lines_of_carried_texts_are_the_same(spark):
+    points = spark.createDataFrame(
+        [(1, "a", -0.1, 51.5), (2, "b", None, 51.6), (3, "c", -0.2, None), (4, None, None, None),
+         (5, "a", 9.0, 9.0), (6, "d", -0.00000049, 51.4999995)],
+        "id int, name string, longitude double, latitude double")
+    placed = stations.with_place(points)
+    pairs = dead.possible_trips(placed, stations.PLACE)
+    texts = [c for c in pairs.columns if c.endswith("_text")]
+    carried, written = (stations.trip_lines(df) for df in (pairs, pairs.drop(*texts)))
+    assert len(texts) == 4 and carried.columns == written.columns
+    rows = collections.Counter(map(str, carried.collect()))
+    assert rows == collections.Counter(map(str, written.collect())) and sum(rows.values()) == 36
+    lines = {(r.start_station_name, r.end_station_name): (r.wkt, r.start_text, r.end_text)
+             for r in carried.collect()}
+    assert lines["a", "d"] == ("LINESTRING (-0.100000 51.500000, -0.000000 51.500000)",
+                               "51.500000, -0.100000", "51.500000, -0.000000")
+    assert lines["a", "c"] == ("LINESTRING (-0.100000 51.500000, -0.100000 51.500000)",
+                               "51.500000, -0.100000", None)
+    assert lines["b", "a"] == (None, None, "51.500000, -0.100000")
+
+
 def test_nothing_to_pick_where_all_pairs_were_ridden(spark):
     trips = make_trips(spark, [(1, a, b, 1, 2016, 1, 1) for a in ("s1", "s2") for b in ("s1", "s2")])
     points = make_stations(spark, [(1, "s1"), (2, "s2")])

@@ -159,6 +159,13 @@ def test_repeated_starts_are_not_broadcast(spark, sf_dir, name, monkeypatch):
         assert re.search("SortMerge" + keys, plan) and not re.search("Broadcast(?:Hash)?" + keys, plan)
 
 
+def test_coordinates_are_written_out_per_station_not_per_pair(spark, sf_dir):
+    """Formatting numbers took nearly all the time of the lines."""
+    plan = plan_of(QUERIES["trip_lines"](spark, sf_dir))
+    pairs = plan.split("Generate inline(ends#")[0]
+    assert pairs != plan and "LINESTRING" in pairs and "format_string" not in pairs
+
+
 def test_long_lists_are_cut_into_no_more_blocks_than_tasks_need(spark, monkeypatch):
     monkeypatch.setattr(dead, "BLOCK_SIDE", 1)
     monkeypatch.setattr(dead, "BLOCKS_PER_ROOT", 2)
