@@ -192,6 +192,14 @@ def test_a_start_meets_the_ends_of_its_block_as_one_array(spark, sf_dir, monkeyp
     assert each.where("end_station_name <> concat('s', end_id)").count() == 0
 
 
+def test_pairs_are_made_in_many_tasks_where_partitions_are_few(spark, sf_dir):
+    """Eight tasks of minutes each took a third more CPU than many short ones."""
+    for name in ("possible_trips", "pair_matrix", "dead_trips", "trip_lines"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        dealt = re.findall(r"Exchange hashpartitioning\(row#\d+, column#\d+, (\d+)\)", plan)
+        assert len(dealt) == 2 and set(dealt) == {str(dead.PAIR_TASKS)}
+
+
 def test_stations_are_dealt_before_they_are_repeated(spark, sf_dir):
     """One task repeated them for all blocks where one had read them."""
     plan = plan_of(QUERIES["possible_trips"](spark, sf_dir))
